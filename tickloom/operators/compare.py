@@ -73,18 +73,27 @@ def pair_correlations(metrics: DataFrame, ids: Sequence[str]) -> DataFrame:
         .agg(*columns)
     )
     stats = by_time.agg(
-        *(
-            F.struct(
-                F.lit(listed[a]).alias("id_a"),
-                F.lit(listed[b]).alias("id_b"),
-                round_half_up(F.corr(f"_price{a}", f"_price{b}"), 4).alias("corr"),
-                F.count_if(F.col(f"_seen{a}") & F.col(f"_seen{b}")).alias("overlap_points"),
-            ).alias(f"_p{a}_{b}")
-            for a, b in pairs
+        F.array(
+            *(
+                F.expr(
+                    f"struct({a} AS a, {b} AS b, corr(_price{a}, _price{b}) AS corr,"
+                    f" count_if(_seen{a} AND _seen{b}) AS overlap_points)"
+                )
+                for a, b in pairs
+            )
+        ).alias("_pairs")
+    )
+    names = F.array(*map(F.lit, listed))
+    return (
+        stats.select(F.inline("_pairs"))
+        .filter(F.col("overlap_points") > 0)
+        .select(
+            names[F.col("a")].alias("id_a"),
+            names[F.col("b")].alias("id_b"),
+            round_half_up(F.col("corr"), 4).alias("corr"),
+            "overlap_points",
         )
     )
-    every_pair = F.array(*(F.col(f"_p{a}_{b}") for a, b in pairs))
-    return stats.select(F.inline(every_pair)).filter(F.col("overlap_points") > 0)
 
 
 def top_pair(metrics: DataFrame, ids: Sequence[str]) -> DataFrame:

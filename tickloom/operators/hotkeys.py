@@ -33,6 +33,19 @@ class SplitPolicy:
 
 DEFAULT_POLICY = SplitPolicy()
 
+# No stored row of a key, a time and a value is narrower than this.
+_ROW_BYTES = 16
+
+
+def no_key_is_hot(rows: DataFrame, policy: SplitPolicy) -> bool:
+    """Whether Spark's size estimate leaves no room for a key with ``hot_rows`` rows.
+
+    Then the plain plan serves. Only the speed depends on the estimate, since both
+    plans give the same rows.
+    """
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= policy.hot_rows * _ROW_BYTES
+
 
 def hot_keys(
     rows: DataFrame,
@@ -95,6 +108,10 @@ def lookback_window(
     first ``lookback`` is final. The first ``lookback`` rows take their columns from
     a window over the rows beside the cuts, where their predecessors are adjacent.
     """
+    across = Window.partitionBy(*keys).orderBy(*order)
+    if hot is None and no_key_is_hot(rows, policy):
+        return rows.withColumns(dict(columns(across)))
+
     time = order[0]
     hot = hot_keys(rows, keys, time, policy) if hot is None else hot
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
@@ -113,7 +130,6 @@ def lookback_window(
         .filter((F.col("_pos") <= lookback) | F.col("_later").isNull())
         .drop("_later")
     )
-    across = Window.partitionBy(*keys).orderBy(*order)
     mended = beside_cuts.withColumns(dict(columns(across))).filter(F.col("_pos") <= lookback)
     return settled.unionByName(mended).drop("_slice", "_pos")
 
@@ -131,6 +147,11 @@ def running_max(
 
     Slices of hot keys start from the largest value of the slices before them.
     """
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    if hot is None and no_key_is_hot(rows, policy):
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
+        return rows.withColumn(name, F.max(value).over(whole))
+
     time = order[0]
     hot = hot_keys(rows, keys, time, policy) if hot is None else hot
     sliced = with_slices(rows, keys, time, hot)
@@ -144,11 +165,7 @@ def running_max(
         .agg(F.max(value).alias("_top"))
         .select(*keys, "_slice", F.max("_top").over(earlier).alias("_carry"))
     )
-    within = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(*so_far)
     return (
         sliced.join(carried, [*keys, "_slice"], "left")
         .withColumn(name, F.greatest(F.max(value).over(within), F.col("_carry")))
@@ -168,6 +185,9 @@ def join_per_key(
     ``rows_column`` of ``per_key`` holds the number of rows of the key. Rows of hot
     keys are spread over several join partitions, each with a copy of the key's row.
     """
+    if no_key_is_hot(rows, policy):
+        return rows.join(per_key, list(keys))
+
     pieces = F.ceil(F.col(rows_column) / F.lit(policy.slice_rows))
     hot = (
         per_key.filter(F.col(rows_column) > policy.hot_rows)

@@ -21,6 +21,7 @@ from tickloom.operators.hotkeys import (
     hot_keys,
     join_per_key,
     lookback_window,
+    no_key_is_hot,
 )
 from tickloom.operators.ranking import latest_per_key
 from tickloom.session import written
@@ -35,6 +36,23 @@ TOO_SHORT = "Not enough points for backtest (need at least 20)."
 _EQUAL_WITHIN = 1e-12
 
 
+def _turned(
+    signed: DataFrame, order: Sequence[str], policy: SplitPolicy, hot: DataFrame | None
+) -> DataFrame:
+    """Rows that flip the position: the first +1, then every change of sign."""
+    rows = lookback_window(
+        signed,
+        order,
+        1,
+        lambda w: {"_before": F.lag("side", 1).over(w)},
+        policy=policy,
+        hot=hot,
+    )
+    into = (F.col("side") == 1) & (F.coalesce("_before", F.lit(-1)) == -1)
+    out = (F.col("side") == -1) & (F.col("_before") == 1)
+    return rows.filter(into | out).drop("_before")
+
+
 @dataclass(frozen=True)
 class CrossRun:
     """Frames of one run: one row per key, and one row per flip."""
@@ -66,24 +84,16 @@ def cross_run(
     gap = F.col("ema") - F.col("sma")
     unequal = F.abs(gap) > F.abs("sma") * _EQUAL_WITHIN
     signed = priced.filter((F.col("price") != 0) & unequal).select(
-        "id", *order, "price", F.signum(gap).cast("int").alias("side")
-    )
-    # both look-backs below use one list of hot keys, found on the priced rows
-    hot = hot_keys(priced, ["id"], order[0], policy)
-    turned = lookback_window(
-        signed,
-        order,
-        1,
-        lambda w: {"before": F.lag("side", 1).over(w)},
-        policy=policy,
-        hot=hot,
-    ).filter(
-        ((F.col("side") == 1) & (F.coalesce("before", F.lit(-1)) == -1))
-        | ((F.col("side") == -1) & (F.col("before") == 1))
+        *dict.fromkeys(["id", *order, "price"]), F.signum(gap).cast("int").alias("side")
     )
-    # flips are read by every result, and each look-back reads its input twice
+    if no_key_is_hot(priced, policy):
+        turned, hot = _turned(signed, order, policy, None), None
+    else:
+        # both look-backs use one list of hot keys and read their input twice
+        hot = written(hot_keys(priced, ["id"], order[0], policy), "hot-keys")
+        turned = written(_turned(signed, order, policy, hot), "turns")
     flips = lookback_window(
-        written(turned.drop("before"), "flips"),
+        turned,
         order,
         1,
         lambda w: {
@@ -93,6 +103,8 @@ def cross_run(
         policy=policy,
         hot=hot,
     )
+    # every result reads the flips, some of them twice
+    flips = written(flips, "flips")
     return CrossRun(series, flips, order, policy)
 
 
@@ -103,9 +115,10 @@ def _events(run: CrossRun) -> DataFrame:
         *run.flips.columns
     )
     bought = F.col("side") == 1
+    moment = [name for name in run.order if name != "price"]
     seen = flips.select(
         "id",
-        *run.order,
+        *moment,
         F.lit(0).alias("closing"),
         F.when(bought, "BUY").otherwise("SELL").alias("action"),
         "price",
@@ -121,7 +134,7 @@ def _events(run: CrossRun) -> DataFrame:
         .join(long_enough.filter(F.col("last_price") != 0), "id")
         .select(
             "id",
-            *(F.col(f"last_moment.{name}").alias(name) for name in run.order),
+            *(F.col(f"last_moment.{name}").alias(name) for name in moment),
             F.lit(1).alias("closing"),
             F.lit("SELL_EOD").alias("action"),
             F.col("last_price").alias("price"),

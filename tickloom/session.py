@@ -16,6 +16,8 @@ RECOMMENDED: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # no call sites per column expression: they slow down building wide plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _LOCAL_FOLDERS: dict[str, str] = {}
