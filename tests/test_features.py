@@ -1,13 +1,20 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.data import at, rows_of, ticks
 from tickloom.operators.features import features, latest_features
-from tickloom.operators.hotkeys import SplitPolicy, hot_keys, running_max
+from tickloom.operators.hotkeys import (
+    SplitPolicy,
+    hot_keys,
+    running_max,
+    time_cuts,
+    with_slices,
+)
 from tickloom.operators.risk import drawdown
 
 ORDER = ("timestamp", "seq")
@@ -71,6 +78,27 @@ def test_hot_list_is_bounded_and_holds_the_largest(spark):
     assert [r.id for r in hot.collect()] == ["hot"]
 
 
+def test_a_burst_is_cut_as_finely_as_its_rows_need(spark):
+    """Nearly all ticks fall in one minute of a year."""
+    rows = [(at(0), "a", 1.0), (at(525_600), "a", 1.0)]
+    rows += [(at(1000 + i / 2000), "a", 1.0) for i in range(2000)]
+    ticks = spark.createDataFrame(rows, "timestamp timestamp_ntz, id string, price double")
+    policy = SplitPolicy(hot_rows=10, slice_rows=100)
+    sliced = with_slices(ticks, ["id"], "timestamp", time_cuts(ticks, policy=policy))
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 150
+
+
+def test_slices_follow_the_cuts(spark):
+    cuts = spark.createDataFrame([("a", [60_000_000, 120_000_000])], "id string, _cuts array<long>")
+    rows = [(key, datetime(1970, 1, 1) + timedelta(seconds=s)) for key, s in
+            (("a", 0), ("a", 59.999999), ("a", 60), ("a", 119), ("a", 120), ("a", 500), ("b", 60))]
+    rows.append(("a", None))
+    frame = spark.createDataFrame(rows, "id string, timestamp timestamp_ntz")
+    got = {(r.id, r.timestamp): r._slice for r in with_slices(frame, ["id"], "timestamp", cuts).collect()}
+    assert [got[row] for row in rows] == [0, 0, 1, 1, 2, 2, None, 0]
+
+
 def test_running_max_over_slices(spark):
     rows = _skewed(spark, 4, 200)
     cut = running_max(rows, ORDER, "price", "peak", policy=SplitPolicy(10, 3))

@@ -46,12 +46,12 @@ def features(
     ticks: DataFrame,
     order: Sequence[str] = ("timestamp",),
     policy: SplitPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Metrics rows, one per tick. Columns of ``order`` settle equal times."""
     kept = dict.fromkeys(["id", "symbol", *order, "price"])
     rows = lookback_window(
-        ticks.select(*kept), order, LOOKBACK, feature_columns, policy=policy, hot=hot
+        ticks.select(*kept), order, LOOKBACK, feature_columns, policy=policy, cuts=cuts
     )
     ties = [name for name in order if name not in METRIC_COLUMNS]
     return rows.select(*METRIC_COLUMNS, *ties)

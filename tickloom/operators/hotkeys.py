@@ -22,16 +22,18 @@ class SplitPolicy:
     """When and how finely keys are cut.
 
     At most ``max_hot`` keys are marked hot, those with most rows. Every other key
-    therefore holds less than 1/max_hot of all rows or fewer than ``hot_rows``, and
-    the hot list, which is broadcast, never exceeds ``max_hot`` short rows.
+    therefore holds less than 1/max_hot of all rows or fewer than ``hot_rows``. A hot
+    key gets at most ``MAX_SLICES`` slices. So the list of hot keys and their cuts,
+    which is broadcast, stays below 32 MB for the default, whatever the data.
     """
 
     hot_rows: int = 4_000_000
     slice_rows: int = 1_000_000
-    max_hot: int = 10_000
+    max_hot: int = 4096
 
 
 DEFAULT_POLICY = SplitPolicy()
+MAX_SLICES = 1024
 
 # No stored row of a key, a time and a value is narrower than this.
 _ROW_BYTES = 16
@@ -48,48 +50,77 @@ def no_key_is_hot(rows: DataFrame, policy: SplitPolicy) -> bool:
 
 
 def hot_keys(
-    rows: DataFrame,
-    keys: Sequence[str] = ("id",),
-    time: str = "timestamp",
-    policy: SplitPolicy = DEFAULT_POLICY,
+    rows: DataFrame, keys: Sequence[str] = ("id",), policy: SplitPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """Keys to cut, with the start and width of their slices.
+    """The keys to cut and into how many pieces.
 
-    One aggregate over the key and time columns, combined before its shuffle.
+    One aggregate over the key columns, combined before its shuffle.
     """
-    counted = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min(time).alias("_first"),
-        F.max(time).alias("_last"),
-    )
-    pieces = F.ceil(F.col("_rows") / F.lit(policy.slice_rows))
-    span = micros(F.col("_last")) - micros(F.col("_first")) + 1
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return _largest(counted, "_rows", keys, policy)
+
+
+def _largest(
+    counted: DataFrame, rows_column: str, keys: Sequence[str], policy: SplitPolicy
+) -> DataFrame:
+    pieces = F.ceil(F.col(rows_column) / F.lit(policy.slice_rows))
     return (
-        counted.filter(F.col("_rows") > policy.hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
+        counted.filter(F.col(rows_column) > policy.hot_rows)
+        .orderBy(F.desc(rows_column), *keys)
         .limit(policy.max_hot)
-        .select(
-            *keys,
-            pieces.alias("_pieces"),
-            micros(F.col("_first")).alias("_from"),
-            F.greatest(F.lit(1), F.ceil(span / pieces)).alias("_width"),
-        )
+        .select(*keys, F.least(pieces, F.lit(MAX_SLICES)).alias("_pieces"))
     )
 
 
-def _mark(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def _mark(rows: DataFrame, keys: Sequence[str], hot: DataFrame, how: str = "left") -> DataFrame:
     # hot has at most max_hot rows by construction, so this broadcast is bounded
-    return rows.join(F.broadcast(hot), list(keys), "left")
+    return rows.join(F.broadcast(hot), list(keys), how)
+
+
+def time_cuts(
+    rows: DataFrame,
+    keys: Sequence[str] = ("id",),
+    time: str = "timestamp",
+    policy: SplitPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """The hot keys with the times to cut at, which put about as many rows in each slice.
+
+    The cuts are approximate quantiles, so a burst of ticks is cut as finely as its
+    rows need. Where they fall does not matter for the results.
+    """
+    hot = hot_keys(rows, keys, policy)
+    shares = ", ".join(f"{i / MAX_SLICES}D" for i in range(1, MAX_SLICES))
+    quantiles = (
+        _mark(rows.select(*keys, micros(F.col(time)).alias("_time")), keys, hot, "inner")
+        .groupBy(*keys, "_pieces")
+        .agg(F.expr(f"percentile_approx(_time, array({shares}), 10000)").alias("_quantiles"))
+    )
+    steps = F.when(F.col("_pieces") > 1, F.sequence(F.lit(1).cast("long"), F.col("_pieces") - 1))
+    cuts = F.transform(
+        F.coalesce(steps, F.array().cast("array<bigint>")),
+        lambda i: F.get("_quantiles", F.floor(i * MAX_SLICES / F.col("_pieces")).cast("int") - 1),
+    )
+    return quantiles.select(*keys, F.array_distinct(cuts).alias("_cuts"))
+
+
+def _cuts_at_or_before(time: Column) -> Column:
+    """How many cuts lie at or before ``time``, by binary search; 0 for a null time."""
+    strides = F.array(*(F.lit(1 << k) for k in reversed(range(MAX_SLICES.bit_length()))))
+    return F.aggregate(
+        strides,
+        F.lit(0),
+        lambda found, stride: F.when(
+            F.get("_cuts", found + stride - 1) <= time, found + stride
+        ).otherwise(found),
+    )
 
 
 def with_slices(
-    rows: DataFrame, keys: Sequence[str], time: str, hot: DataFrame
+    rows: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame
 ) -> DataFrame:
     """Add ``_slice``: the time slice of a hot key's row, null for other keys."""
-    slice_no = F.floor((micros(F.col(time)) - F.col("_from")) / F.col("_width"))
-    # a hot key's row without a time sorts first, so it goes before every slice
-    placed = F.when(F.col("_width").isNotNull(), F.coalesce(slice_no, F.lit(-1)))
-    return _mark(rows, keys, hot).select(*rows.columns, placed.alias("_slice"))
+    placed = F.when(F.col("_cuts").isNotNull(), _cuts_at_or_before(micros(F.col(time))))
+    return _mark(rows, keys, cuts).select(*rows.columns, placed.alias("_slice"))
 
 
 def lookback_window(
@@ -99,7 +130,7 @@ def lookback_window(
     columns: Callable[[WindowSpec], Mapping[str, Column]],
     keys: Sequence[str] = ("id",),
     policy: SplitPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns that read a row and at most ``lookback`` rows before it.
 
@@ -109,15 +140,15 @@ def lookback_window(
     a window over the rows beside the cuts, where their predecessors are adjacent.
     """
     across = Window.partitionBy(*keys).orderBy(*order)
-    if hot is None and no_key_is_hot(rows, policy):
+    if cuts is None and no_key_is_hot(rows, policy):
         return rows.withColumns(dict(columns(across)))
 
     time = order[0]
-    hot = hot_keys(rows, keys, time, policy) if hot is None else hot
+    cuts = time_cuts(rows, keys, time, policy) if cuts is None else cuts
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     position = F.row_number().over(within)
 
-    sliced = with_slices(rows, keys, time, hot)
+    sliced = with_slices(rows, keys, time, cuts)
     settled = sliced.withColumns({**columns(within), "_pos": position}).filter(
         F.col("_slice").isNull() | (F.col("_pos") > lookback)
     )
@@ -141,20 +172,20 @@ def running_max(
     name: str,
     keys: Sequence[str] = ("id",),
     policy: SplitPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Add the largest ``value`` up to each row.
 
     Slices of hot keys start from the largest value of the slices before them.
     """
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if hot is None and no_key_is_hot(rows, policy):
+    if cuts is None and no_key_is_hot(rows, policy):
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return rows.withColumn(name, F.max(value).over(whole))
 
     time = order[0]
-    hot = hot_keys(rows, keys, time, policy) if hot is None else hot
-    sliced = with_slices(rows, keys, time, hot)
+    cuts = time_cuts(rows, keys, time, policy) if cuts is None else cuts
+    sliced = with_slices(rows, keys, time, cuts)
     earlier = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -188,13 +219,7 @@ def join_per_key(
     if no_key_is_hot(rows, policy):
         return rows.join(per_key, list(keys))
 
-    pieces = F.ceil(F.col(rows_column) / F.lit(policy.slice_rows))
-    hot = (
-        per_key.filter(F.col(rows_column) > policy.hot_rows)
-        .orderBy(F.desc(rows_column), *keys)
-        .limit(policy.max_hot)
-        .select(*keys, pieces.alias("_pieces"))
-    )
+    hot = _largest(per_key, rows_column, keys, policy)
     salted = _mark(rows, keys, hot).select(
         *rows.columns,
         F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_pieces")), F.lit(0)).alias("_salt"),

@@ -18,10 +18,10 @@ from tickloom.functions.numeric import round_half_up, safe_pct
 from tickloom.operators.hotkeys import (
     DEFAULT_POLICY,
     SplitPolicy,
-    hot_keys,
     join_per_key,
     lookback_window,
     no_key_is_hot,
+    time_cuts,
 )
 from tickloom.operators.ranking import latest_per_key
 from tickloom.session import written
@@ -37,7 +37,7 @@ _EQUAL_WITHIN = 1e-12
 
 
 def _turned(
-    signed: DataFrame, order: Sequence[str], policy: SplitPolicy, hot: DataFrame | None
+    signed: DataFrame, order: Sequence[str], policy: SplitPolicy, cuts: DataFrame | None
 ) -> DataFrame:
     """Rows that flip the position: the first +1, then every change of sign."""
     rows = lookback_window(
@@ -46,7 +46,7 @@ def _turned(
         1,
         lambda w: {"_before": F.lag("side", 1).over(w)},
         policy=policy,
-        hot=hot,
+        cuts=cuts,
     )
     into = (F.col("side") == 1) & (F.coalesce("_before", F.lit(-1)) == -1)
     out = (F.col("side") == -1) & (F.col("_before") == 1)
@@ -87,11 +87,11 @@ def cross_run(
         *dict.fromkeys(["id", *order, "price"]), F.signum(gap).cast("int").alias("side")
     )
     if no_key_is_hot(priced, policy):
-        turned, hot = _turned(signed, order, policy, None), None
+        turned, cuts = _turned(signed, order, policy, None), None
     else:
-        # both look-backs use one list of hot keys and read their input twice
-        hot = written(hot_keys(priced, ["id"], order[0], policy), "hot-keys")
-        turned = written(_turned(signed, order, policy, hot), "turns")
+        # both look-backs use one list of cuts and read their input twice
+        cuts = written(time_cuts(priced, ["id"], order[0], policy), "cuts")
+        turned = written(_turned(signed, order, policy, cuts), "turns")
     flips = lookback_window(
         turned,
         order,
@@ -101,7 +101,7 @@ def cross_run(
             "entry_time": F.lag(order[0], 1).over(w),
         },
         policy=policy,
-        hot=hot,
+        cuts=cuts,
     )
     # every result reads the flips, some of them twice
     flips = written(flips, "flips")

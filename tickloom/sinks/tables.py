@@ -34,26 +34,27 @@ def with_date(rows: DataFrame, time: str) -> DataFrame:
 
 
 def _write(rows: DataFrame, path: str, mode: str, partitions: Sequence[str]) -> None:
+    """Write by partition; AQE splits large partitions over tasks and joins small ones."""
     (
-        rows.write.mode(mode)
+        rows.hint("rebalance", *partitions)
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
 
 
-def _spread(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Hash rows of a date over tasks by key, so that no single task writes a date."""
-    return rows.repartition(DATE_PARTITION, *key)
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType, incoming: DataFrame) -> DataFrame | None:
-    """The stored rows of the incoming dates, or None for a table not yet written."""
+def _stored(
+    path: str, schema: T.StructType, rows: DataFrame, time: str
+) -> DataFrame | None:
+    """The stored rows of the dates in ``rows``, or None for a table not yet written."""
+    spark = rows.sparkSession
     if not has_data(spark, path):
         return None
     # one row per calendar date, so the broadcast is bounded by the days of a table
-    dates = incoming.select(DATE_PARTITION).distinct()
-    return read_table(spark, path, schema).join(F.broadcast(dates), DATE_PARTITION, "left_semi")
+    dates = rows.select(F.to_date(time).alias(DATE_PARTITION)).distinct()
+    kept = read_table(spark, path, schema).join(F.broadcast(dates), DATE_PARTITION, "left_semi")
+    return kept.drop(DATE_PARTITION)
 
 
 def _one_per_key(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -96,10 +97,10 @@ def upsert(
 ) -> None:
     """Insert rows, or replace the row with the same key except its ``keep`` columns."""
     values = [c for c in schema.fieldNames() if c not in key]
-    incoming = with_date(_one_per_key(rows.select(*schema.fieldNames()), key, values), time)
-    stored = _stored(rows.sparkSession, path, schema, incoming)
-    result = incoming if stored is None else merged(stored, incoming, [*key, DATE_PARTITION], keep)
-    _write(_spread(result, key), path, "overwrite", [DATE_PARTITION])
+    incoming = _one_per_key(rows.select(*schema.fieldNames()), key, values)
+    stored = _stored(path, schema, rows, time)
+    result = incoming if stored is None else merged(stored, incoming, key, keep)
+    _write(with_date(result, time), path, "overwrite", [DATE_PARTITION])
 
 
 def insert_ignore(
@@ -111,12 +112,11 @@ def insert_ignore(
 ) -> None:
     """Append the rows whose key is not stored yet."""
     values = [c for c in schema.fieldNames() if c not in key]
-    incoming = with_date(_one_per_key(rows.select(*schema.fieldNames()), key, values), time)
-    stored = _stored(rows.sparkSession, path, schema, incoming)
+    incoming = _one_per_key(rows.select(*schema.fieldNames()), key, values)
+    stored = _stored(path, schema, rows, time)
     if stored is not None:
-        seen = stored.select(*key, DATE_PARTITION)
-        incoming = incoming.join(seen, [*key, DATE_PARTITION], "left_anti")
-    _write(_spread(incoming, key), path, "append", [DATE_PARTITION])
+        incoming = incoming.join(stored.select(*key), list(key), "left_anti")
+    _write(with_date(incoming, time), path, "append", [DATE_PARTITION])
 
 
 def append_run(rows: DataFrame, path: str, run_id: str, time: str) -> None:

@@ -90,7 +90,7 @@ def _record_lists(quotes: DataFrame, batch: str, policy: SplitPolicy) -> DataFra
     of about ``policy.slice_rows``, so no task builds an unbounded list.
     """
     fields = F.struct(*(f for f in QUOTE.fieldNames() if f in quotes.columns))
-    hot = hot_keys(quotes, [batch], batch, policy).select(batch, "_pieces")
+    hot = hot_keys(quotes, [batch], policy)
     part = F.coalesce(F.pmod(F.xxhash64(fields), F.col("_pieces")), F.lit(0))
     # hot has at most max_hot rows by construction
     return (
