@@ -37,15 +37,23 @@ def window_stats(metrics: DataFrame, order: Sequence[str] = ("timestamp",)) -> D
     return metrics.groupBy("id").agg(*(value.alias(name) for name, value in stats.items()))
 
 
-def only_keys(rows: DataFrame, ids: Sequence[str] | DataFrame | None) -> DataFrame:
-    """Rows of the listed keys: a list becomes a pushed filter, a table a semi join."""
-    if ids is None:
+def listed_keys(rows: DataFrame, ids: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Rows of the keys in a list, as a filter the scan can use; a table of keys waits."""
+    if ids is None or isinstance(ids, DataFrame):
         return rows
-    if isinstance(ids, DataFrame):
-        return rows.join(ids.select("id"), "id", "left_semi")
     return rows.filter(F.col("id").isin(list(ids)))
 
 
+def tabled_keys(per_key: DataFrame, ids: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Per-key results for the keys in a table.
+
+    Joining results, not rows, keeps a busy key from filling one join task.
+    """
+    if not isinstance(ids, DataFrame):
+        return per_key
+    return per_key.join(ids.select("id"), "id", "left_semi")
+
+
 def one_key(rows: DataFrame, key: str) -> DataFrame:
     """A single key as a frame, for answers that exist even without rows."""
     return rows.sparkSession.range(1).select(F.lit(key).alias("id"))
@@ -67,7 +75,7 @@ def pair_correlations(metrics: DataFrame, ids: Sequence[str]) -> DataFrame:
         columns.append(F.max(F.when(hit, F.col("price"))).alias(f"_price{i}"))
         columns.append(F.coalesce(F.bool_or(hit), F.lit(False)).alias(f"_seen{i}"))
     by_time = (
-        only_keys(metrics, listed)
+        listed_keys(metrics, listed)
         .filter(F.col("timestamp").isNotNull())
         .groupBy("timestamp")
         .agg(*columns)

@@ -116,11 +116,14 @@ def _cuts_at_or_before(time: Column) -> Column:
 
 
 def with_slices(
-    rows: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame
+    rows: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame, how: str = "left"
 ) -> DataFrame:
-    """Add ``_slice``: the time slice of a hot key's row, null for other keys."""
+    """Add ``_slice``: the time slice of a hot key's row, null for other keys.
+
+    An inner join leaves the hot keys only.
+    """
     placed = F.when(F.col("_cuts").isNotNull(), _cuts_at_or_before(micros(F.col(time))))
-    return _mark(rows, keys, cuts).select(*rows.columns, placed.alias("_slice"))
+    return _mark(rows, keys, cuts, how).select(*rows.columns, placed.alias("_slice"))
 
 
 def lookback_window(
@@ -154,7 +157,7 @@ def lookback_window(
     )
 
     beside_cuts = (
-        sliced.filter(F.col("_slice").isNotNull())
+        with_slices(rows, keys, time, cuts, "inner")
         .withColumns(
             {"_pos": position, "_later": F.lead(F.lit(1), lookback).over(within)}
         )
@@ -191,7 +194,7 @@ def running_max(
     )
     # one row per slice of a hot key
     carried = (
-        sliced.filter(F.col("_slice").isNotNull())
+        with_slices(rows, keys, time, cuts, "inner")
         .groupBy(*keys, "_slice")
         .agg(F.max(value).alias("_top"))
         .select(*keys, "_slice", F.max("_top").over(earlier).alias("_carry"))

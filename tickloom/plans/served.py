@@ -20,9 +20,10 @@ from tickloom.functions.text import split_keys
 from tickloom.operators import quality, runs
 from tickloom.operators.anomalies import STRONG, anomalous
 from tickloom.operators.compare import (
+    listed_keys,
     one_key,
-    only_keys,
     series_stats,
+    tabled_keys,
     top_pair,
     window_stats,
 )
@@ -106,7 +107,8 @@ def ohlc_history(
 def compare_latest(
     metrics: DataFrame, ids: Sequence[str] | DataFrame, order: Sequence[str] = BY_TIME
 ) -> DataFrame:
-    return latest_prices(only_keys(metrics, ids), order)
+    latest = latest_per_key(listed_keys(metrics, ids), order=order).select(*METRIC_COLUMNS)
+    return tabled_keys(latest, ids).orderBy("id")
 
 
 @bounds(minutes=(15, 1440))
@@ -117,7 +119,8 @@ def compare_stats(
     minutes: int = 180,
     order: Sequence[str] = BY_TIME,
 ) -> DataFrame:
-    return window_stats(recent(only_keys(metrics, ids), as_of, minutes), order).orderBy("id")
+    rows = recent(listed_keys(metrics, ids), as_of, minutes)
+    return tabled_keys(window_stats(rows, order), ids).orderBy("id")
 
 
 @bounds(minutes=(15, 1440))
