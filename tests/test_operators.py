@@ -89,8 +89,10 @@ def test_spread_join_keeps_every_row(spark):
         ],
     )
     plain = sorted(map(repr, rows_of(anomalies.z_scores(rows))))
-    spread = sorted(map(repr, rows_of(anomalies.z_scores(rows, SplitPolicy(50, 20)))))
-    assert plain == spread and len(plain) == 400
+    assert len(plain) == 400
+    for short in (0, 100):
+        policy = SplitPolicy(50, 20, broadcast_rows=short)
+        assert sorted(map(repr, rows_of(anomalies.z_scores(rows, policy)))) == plain
 
 
 def test_pair_correlations_against_loops(spark):

@@ -26,4 +26,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query_equals_sql(spark, con, name):
     frame = entry_points.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert unwanted not in plan
     assert difference(frame, con, entry_points.oracle_sql()[name]) is None

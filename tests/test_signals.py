@@ -49,7 +49,7 @@ def _series(rng, length):
     ]
 
 
-@pytest.mark.parametrize("policy", [DEFAULT_POLICY, SplitPolicy(15, 4)])
+@pytest.mark.parametrize("policy", [DEFAULT_POLICY, SplitPolicy(15, 4), SplitPolicy(15, 4, broadcast_rows=0)])
 def test_equals_a_loop(spark, policy):
     rng = random.Random(11)
     every = {f"k{i:02}": _series(rng, rng.choice([1, 19, 20, 25, 60])) for i in range(40)}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import micros
+from tickloom.session import written
 
 
 @dataclass(frozen=True)
@@ -25,11 +26,14 @@ class SplitPolicy:
     therefore holds less than 1/max_hot of all rows or fewer than ``hot_rows``. A hot
     key gets at most ``MAX_SLICES`` slices. So the list of hot keys and their cuts,
     which is broadcast, stays below 32 MB for the default, whatever the data.
+
+    Results per key are broadcast to rows if there are at most ``broadcast_rows``.
     """
 
     hot_rows: int = 4_000_000
     slice_rows: int = 1_000_000
     max_hot: int = 4096
+    broadcast_rows: int = 100_000
 
 
 DEFAULT_POLICY = SplitPolicy()
@@ -216,11 +220,16 @@ def join_per_key(
 ) -> DataFrame:
     """Inner join of rows to a frame with one row per key.
 
-    ``rows_column`` of ``per_key`` holds the number of rows of the key. Rows of hot
-    keys are spread over several join partitions, each with a copy of the key's row.
+    ``rows_column`` of ``per_key`` holds the number of rows of the key. The per-key
+    frame is computed first. If it is short it is broadcast and the rows stay where
+    they are. If not, rows of hot keys are spread over several join partitions, each
+    with a copy of the key's row.
     """
     if no_key_is_hot(rows, policy):
         return rows.join(per_key, list(keys))
+    per_key = written(per_key, "per-key")
+    if per_key.count() <= policy.broadcast_rows:
+        return rows.join(F.broadcast(per_key), list(keys))
 
     hot = _largest(per_key, rows_column, keys, policy)
     salted = _mark(rows, keys, hot).select(

@@ -46,7 +46,7 @@ _ALL = f"{_NOW} - INTERVAL {ALL_MINUTES} MINUTE"
 _WEEK = f"{_NOW} - INTERVAL {WEEK_MINUTES} MINUTE"
 
 # Small enough to cut each of the five dense keys into several slices.
-_FINE = SplitPolicy(hot_rows=100, slice_rows=40)
+_FINE = SplitPolicy(hot_rows=100, slice_rows=40, broadcast_rows=0)
 
 
 def query(sql: str | None = None):
@@ -823,13 +823,27 @@ def scan_ticks(spark, sf_dir):
 def quote_landing(spark, sf_dir):
     """Upstream responses landed as JSON lists, read back and judged record by record."""
     inbox = scratch(spark, "responses")
-    messages.responses(_hourly_quotes(v.quotes(spark, sf_dir)), "timestamp").write.text(inbox)
+    sent = messages.responses(_hourly_quotes(v.quotes(spark, sf_dir)), "timestamp")
+    sent.select("value").write.text(inbox)
     landed = messages.landed_quotes(messages.read_messages(spark, "text", {}, inbox, streaming=False))
     return validation.with_reason(landed).select(
         "id", "symbol", "current_price", "market_cap", "reason"
     )
 
 
+@query(f"""{using("judged")}
+  SELECT count(*) AS records, true AS all_lists, count(DISTINCT {_HOUR}) AS batches FROM judged""")
+def response_guard(spark, sf_dir):
+    """Upstream responses that are lists, and the records in them."""
+    batches = _hourly_quotes(v.quotes(spark, sf_dir))
+    guarded = messages.response_guard(messages.responses(batches, "timestamp"), ["timestamp"])
+    return guarded.agg(
+        F.sum("records").alias("records"),
+        F.bool_and("is_list").alias("all_lists"),
+        F.count_distinct("timestamp").alias("batches"),
+    )
+
+
 @query(f"""{using("judged")}
   SELECT {_HOUR_TEXT} AS run_id, count(*) AS published, count(*) FILTER (WHERE reason IS NULL) AS landed,
          count(*) FILTER (WHERE reason IS NOT NULL) AS missing,
@@ -932,7 +946,7 @@ def sink_replace(spark, sf_dir):
     latest = _latest(spark, sf_dir)
     tables.replace_snapshot(ranking.top_gainers(latest), path, "20240130T000000")
     tables.replace_snapshot(ranking.top_losers(latest), path, "20240131T000000")
-    return tables.current_snapshot(spark, path, schemas.MOVERS)
+    return served.snapshot_ranking(tables.current_snapshot(spark, path, schemas.MOVERS))
 
 
 @query(f"""{using("alerts")}

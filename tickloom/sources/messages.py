@@ -111,7 +111,7 @@ def envelopes(
 
 def responses(quotes: DataFrame, batch: str, policy: SplitPolicy = _MESSAGE) -> DataFrame:
     """Record lists as upstream responses look: a bare JSON list per line, in ``value``."""
-    return _record_lists(quotes, batch, policy).select(F.to_json("data").alias("value"))
+    return _record_lists(quotes, batch, policy).select(batch, F.to_json("data").alias("value"))
 
 
 _WHOLE, _FRACTION = r"^BIGINT$", r"^(DOUBLE|FLOAT|DECIMAL.*)$"
