@@ -67,14 +67,14 @@ def test_an_empty_snapshot_replaces_a_full_one(spark):
     assert tables.current_snapshot(spark, path, schemas.MOVERS).count() == 1
     tables.replace_snapshot(rows.limit(0), path, "4")
     assert tables.current_snapshot(spark, path, schemas.MOVERS).count() == 0
-    assert files.partition_values(spark, path, "run_id") == ["3", "4"]
+    assert files.partition_values(spark, path, tables.RUN_PARTITION) == ["3", "4"]
 
 
 def test_an_unfinished_snapshot_is_not_current(spark):
     path = scratch(spark, "s")
     rows = spark.createDataFrame([(1, "a", "A", 1.0, 2.0)], schemas.MOVERS)
     tables.replace_snapshot(rows, path, "1")
-    rows.limit(0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/run_id=2")
+    rows.limit(0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/{tables.RUN_PARTITION}=2")
     assert tables.current_snapshot(spark, path, schemas.MOVERS).count() == 1
 
 

@@ -20,7 +20,7 @@ from tickloom.functions.clock import DATE_PARTITION, instant
 from tickloom.sinks.files import drop_folder, exists, has_data, partition_values
 from tickloom.sources.lake import read_table
 
-RUN_PARTITION = "run_id"
+RUN_PARTITION = "batch_id"
 KEY = ("id", "timestamp")
 
 
@@ -120,9 +120,10 @@ def insert_ignore(
 
 
 def append_run(rows: DataFrame, path: str, run_id: str, time: str) -> None:
-    """Append the rows of one run; a rerun replaces what that run wrote before.
+    """Append the rows of one run or batch; a rerun replaces what it wrote before.
 
-    Run ids are plain words, since they name folders.
+    Its id is a plain word, since it names a folder. A rerun is known by its id and
+    the dates of its rows, so rows should keep their times.
     """
     check_run_id(run_id)
     tagged = with_date(rows.withColumn(RUN_PARTITION, F.lit(run_id)), time)
