@@ -107,16 +107,19 @@ def time_cuts(
     return quantiles.select(*keys, F.array_distinct(cuts).alias("_cuts"))
 
 
-def _cuts_at_or_before(time: Column) -> Column:
-    """How many cuts lie at or before ``time``, by binary search; 0 for a null time."""
-    strides = F.array(*(F.lit(1 << k) for k in reversed(range(MAX_SLICES.bit_length()))))
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda found, stride: F.when(
-            F.get("_cuts", found + stride - 1) <= time, found + stride
-        ).otherwise(found),
-    )
+def _count_cuts(rows: DataFrame, time: Column) -> DataFrame:
+    """Add ``_slice``: how many cuts lie at or before ``time``, 0 for a null time.
+
+    A binary search with a column per step, so that all steps are generated code.
+    """
+    found = rows.withColumns({"_slice": F.lit(0), "_time": time})
+    for k in reversed(range(MAX_SLICES.bit_length())):
+        stride = 1 << k
+        further = F.get("_cuts", F.col("_slice") + (stride - 1)) <= F.col("_time")
+        found = found.withColumn(
+            "_slice", F.when(further, F.col("_slice") + stride).otherwise(F.col("_slice"))
+        )
+    return found
 
 
 def with_slices(
@@ -126,8 +129,9 @@ def with_slices(
 
     An inner join leaves the hot keys only.
     """
-    placed = F.when(F.col("_cuts").isNotNull(), _cuts_at_or_before(micros(F.col(time))))
-    return _mark(rows, keys, cuts, how).select(*rows.columns, placed.alias("_slice"))
+    placed = _count_cuts(_mark(rows, keys, cuts, how), micros(F.col(time)))
+    hot = F.col("_cuts").isNotNull()
+    return placed.select(*rows.columns, F.when(hot, F.col("_slice")).alias("_slice"))
 
 
 def lookback_window(
