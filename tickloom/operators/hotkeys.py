@@ -39,15 +39,15 @@ class SplitPolicy:
 DEFAULT_POLICY = SplitPolicy()
 MAX_SLICES = 1024
 
-# No stored row of a key, a time and a value is narrower than this.
+# Assumed width of a row with a key, a time and a value, as stored.
 _ROW_BYTES = 16
 
 
 def no_key_is_hot(rows: DataFrame, policy: SplitPolicy) -> bool:
-    """Whether Spark's size estimate leaves no room for a key with ``hot_rows`` rows.
+    """Whether Spark's size estimate of all rows is that of ``hot_rows`` rows at most.
 
-    Then the plain plan serves. Only the speed depends on the estimate, since both
-    plans give the same rows.
+    Then the plain plan serves. Only the speed depends on the estimate, which well
+    compressed files may undercut, since both plans give the same rows.
     """
     size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= policy.hot_rows * _ROW_BYTES
