@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.oracle import connect, difference
+from tickloom.registry.catalogue import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,17 +17,19 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["rank", "id", "symbol", "price", "change_5min"]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    frame = entry_points.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert unwanted not in plan
-    assert difference(frame, con, entry_points.oracle_sql()[name]) is None
+    assert difference(frame, con, ORACLES[name]) is None
