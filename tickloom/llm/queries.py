@@ -8,12 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.op1_sharding import op1_sharding
 from tickloom.llm.op3_mixing import op3_mixing
+from tickloom.llm.op5_token_files import op5_token_files
+from tickloom.llm.op6_toxicity import op6_toxicity
+from tickloom.llm.op7_fingerprints import op7_fingerprints
+from tickloom.llm.op10_sentencepiece import op10_sentencepiece
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding,
         op3_mixing,
+        op5_token_files,
+        op6_toxicity,
+        op7_fingerprints,
+        op10_sentencepiece,
     )
 }
 

@@ -72,6 +72,14 @@ def encoded(texts) -> list[bytes]:
     return [t.encode() if isinstance(t, str) else b"" for t in texts]
 
 
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes, from differences of one running polynomial."""
+    power, inverse = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * power[: len(data)], out=total[1:])
+    return mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
 def scan(texts: list[bytes], lower: bool = False, tails: bool = False) -> Words:
     """Words of the texts: runs of anything but ASCII white space.
 
@@ -93,10 +101,7 @@ def scan(texts: list[bytes], lower: bool = False, tails: bool = False) -> Words:
         at = np.flatnonzero(cut)
         start = np.insert(start, at + 1, last[at] + 1)
         end = np.insert(end, at, last[at] + 1)
-    power, inverse = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * power[: len(data)], out=total[1:])
-    hashed = mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    hashed = hashes(data, start, end)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.concatenate([[0], np.cumsum(lengths + 1)])
     return Words(data, start, end, hashed, np.searchsorted(start, begins))
