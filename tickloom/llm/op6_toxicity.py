@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import table
-from tickloom.llm.words import encoded, scan, slices
+from tickloom.llm.words import Words, encoded, scan, slices
 from tickloom.session import written
 
 BUCKETS = 1 << 18  # tokens are counted by hash, so the model has this size whatever the vocabulary
@@ -113,16 +113,33 @@ def evidence(segments: list[tuple[int, int, float]], tokens: int, decay: float,
     return sum(max(0.0, decay * s - base) for _, _, s in segments)
 
 
+def token_scores(words: Words, scores: np.ndarray) -> np.ndarray:
+    """Scores of tokens in their texts: the k-th of equal tokens of a text adds a k-th of a
+    positive score, so that a text that repeats one word does not pass for a toxic one."""
+    at = buckets(words.hash)
+    values = scores[at].copy()
+    up = np.flatnonzero(values > 0)
+    owner = np.searchsorted(words.offsets, up, side="right") - 1
+    key = owner * BUCKETS + at[up]
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    place = np.arange(len(ranked))
+    nth = place - np.maximum.accumulate(np.where(new, place, 0)) + 1 if len(ranked) else place
+    values[up[order]] /= nth
+    return values
+
+
 def scored(batch: pd.Series, scores: np.ndarray) -> Iterator[tuple[list[list[tuple[int, int, float]]], np.ndarray]]:
     texts = encoded(batch)
     for begin, end in slices(texts):
         words = scan(texts[begin:end], lower=True, tails=True)
-        values = scores[buckets(words.hash)]
-        yield passages(values, words.offsets), np.diff(words.offsets)
+        yield passages(token_scores(words, scores), words.offsets), np.diff(words.offsets)
 
 
 def token_counts(rows: DataFrame, text: str, toxic: str) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of the toxic and of the clean rows, by bucket."""
+    """Tokens of the toxic and of the clean rows, by bucket; a text's equal tokens count once."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((2, BUCKETS), np.int64)
@@ -131,8 +148,10 @@ def token_counts(rows: DataFrame, text: str, toxic: str) -> tuple[np.ndarray, np
             texts = encoded(frame[text])
             for begin, end in slices(texts):
                 words = scan(texts[begin:end], lower=True, tails=True)
-                owner = np.repeat(label[begin:end], np.diff(words.offsets))
-                sums += np.bincount(owner * BUCKETS + buckets(words.hash), minlength=2 * BUCKETS).reshape(2, -1)
+                owner = np.repeat(np.arange(begin, end), np.diff(words.offsets))
+                once = np.unique(owner * BUCKETS + buckets(words.hash))
+                pair = label[once // BUCKETS] * BUCKETS + once % BUCKETS
+                sums += np.bincount(pair, minlength=2 * BUCKETS).reshape(2, -1)
         at = np.flatnonzero(sums.any(axis=0))
         yield pd.DataFrame({"bucket": at, "clean": sums[0, at], "toxic": sums[1, at]})
 
