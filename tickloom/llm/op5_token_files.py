@@ -23,7 +23,7 @@ from tickloom.session import scratch
 END_ID = 1
 CHUNK_BITS = 8
 RANK_BITS = 512  # one entry of a rank directory for so many bits
-SEGMENT_TOKENS = 1 << 22
+SEGMENT_TOKENS = 1 << 21
 _MAGIC = b"TLDAC001"
 
 
@@ -282,14 +282,14 @@ def encode(frame: DataFrame, key: str, text: str, path: str, end_id: int) -> Dat
         words = word_ids(path)
         for batch in batches:
             texts = encoded(batch.column(1).to_pylist())
-            out: list[bytes] = []
             for begin, end in slices(texts):
                 ids, count = words.of(scan(texts[begin:end], lower=True, tails=True))
                 stops = np.cumsum(count)
                 whole = np.insert(ids, stops, end_id).astype("<u4").tobytes()
-                ends = 4 * (stops + np.arange(1, len(count) + 1))
-                out += [whole[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+                ends = (4 * (stops + np.arange(1, len(count) + 1))).tolist()
+                out = pa.array([whole[a:b] for a, b in zip([0, *ends[:-1]], ends)], pa.binary())
+                keys = batch.column(0).slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([keys, out], names=["doc_id", "ids"])
 
     return frame.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(
         work, "doc_id long, ids binary"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 
 # Texts are worked on together up to this many bytes; a longer text comes alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -29,7 +29,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for i, base in enumerate((_BASE, inverse)):
-            steps = np.full(2 * n, base, np.uint64)
+            steps = np.full(n + n // 4, base, np.uint64)
             steps[0] = 1
             _POWERS[i] = np.multiply.accumulate(steps)
     return _POWERS[0], _POWERS[1]
@@ -133,43 +133,43 @@ class WordTable:
     The table starts anew when it holds more than ``most`` words, so memory is bounded.
     """
 
-    def __init__(self, compute, dtype, most: int = 1_500_000):
+    def __init__(self, compute: Callable, dtype, most: int = 1_000_000):
         self.compute, self.dtype, self.most = compute, dtype, most
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[int, int] = {}
-        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.values = np.zeros(0, self.dtype)
-        self.used = 0
-
-    def _add(self, keys: list[int], values: np.ndarray, count: np.ndarray) -> None:
-        n, m = len(self.number), len(keys)
-        if n + m > len(self.begin):
-            more = max(n + m, 2 * len(self.begin)) - len(self.begin)
-            self.begin = np.concatenate([self.begin, np.zeros(more, np.int64)])
-            self.count = np.concatenate([self.count, np.zeros(more, np.int64)])
+        self.keys = np.zeros(0, np.uint64)  # sorted, with the place of each word's values
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.values, self.used = np.zeros(0, self.dtype), 0
+
+    def _add(self, keys: np.ndarray, values: np.ndarray, count: np.ndarray) -> None:
         if self.used + len(values) > len(self.values):
-            more = max(self.used + len(values), 2 * len(self.values)) - len(self.values)
-            self.values = np.concatenate([self.values, np.zeros(more, self.dtype)])
-        self.begin[n : n + m] = self.used + np.cumsum(count) - count
-        self.count[n : n + m] = count
+            room = np.zeros(int(1.3 * (self.used + len(values))), self.dtype)
+            room[: self.used] = self.values[: self.used]
+            self.values = room
         self.values[self.used : self.used + len(values)] = values
+        begin = self.used + np.cumsum(count) - count
         self.used += len(values)
-        self.number.update(zip(keys, range(n, n + m)))
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin = np.insert(self.begin, at, begin)
+        self.count = np.insert(self.count, at, count)
 
     def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Values of all words end to end, and the number for each text."""
-        if len(self.number) > self.most:
+        if len(self.keys) > self.most:
             self.clear()
-        hashes, at, number = distinct(words.hash)
-        keys = hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.number]
-        if new:
+        keys, at, number = distinct(words.hash)
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        if not known.all():
+            new = np.flatnonzero(~known)
             values, count = self.compute([words.bytes_of(at[i]) for i in new])
-            self._add([keys[i] for i in new], values, count)
-        rows = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))[number]
-        count = self.count[rows]
+            self._add(keys[new], values, count)
+            place = np.searchsorted(self.keys, keys)
+        rows = place[number]
+        count = self.count[rows].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(count)])
-        values = self.values[spread(self.begin[rows], count)]
-        return values, np.diff(total[words.offsets])
+        return self.values[spread(self.begin[rows], count)], np.diff(total[words.offsets])
