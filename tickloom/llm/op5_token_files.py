@@ -147,7 +147,7 @@ class TokenFileWriter(DataSourceArrowWriter):
         docs = tokens = held = 0
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
-        with store.open_output_stream(f"{path}/{name}") as out:
+        with store.open_output_stream(f"{path}/{name}", compression=None) as out:
             out.write(_MAGIC)
 
             def flush() -> None:

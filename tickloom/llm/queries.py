@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.op1_sharding import op1_sharding
 from tickloom.llm.op3_mixing import op3_mixing
+from tickloom.llm.op4_warc import op4_warc
 from tickloom.llm.op5_token_files import op5_token_files
 from tickloom.llm.op6_toxicity import op6_toxicity
 from tickloom.llm.op7_fingerprints import op7_fingerprints
@@ -18,6 +19,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sharding,
         op3_mixing,
+        op4_warc,
         op5_token_files,
         op6_toxicity,
         op7_fingerprints,
