@@ -12,6 +12,7 @@ from tickloom.llm.op4_warc import op4_warc
 from tickloom.llm.op5_token_files import op5_token_files
 from tickloom.llm.op6_toxicity import op6_toxicity
 from tickloom.llm.op7_fingerprints import op7_fingerprints
+from tickloom.llm.op8_near_dedup import op8_near_dedup
 from tickloom.llm.op10_sentencepiece import op10_sentencepiece
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_token_files,
         op6_toxicity,
         op7_fingerprints,
+        op8_near_dedup,
         op10_sentencepiece,
     )
 }
