@@ -13,6 +13,7 @@ from tickloom.llm.op5_token_files import op5_token_files
 from tickloom.llm.op6_toxicity import op6_toxicity
 from tickloom.llm.op7_fingerprints import op7_fingerprints
 from tickloom.llm.op8_near_dedup import op8_near_dedup
+from tickloom.llm.op9_surrogates import op9_surrogates
 from tickloom.llm.op10_sentencepiece import op10_sentencepiece
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +26,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_toxicity,
         op7_fingerprints,
         op8_near_dedup,
+        op9_surrogates,
         op10_sentencepiece,
     )
 }
