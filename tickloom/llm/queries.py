@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.op1_sharding import op1_sharding
+from tickloom.llm.op2_embedding_dedup import op2_embedding_dedup
 from tickloom.llm.op3_mixing import op3_mixing
 from tickloom.llm.op4_warc import op4_warc
 from tickloom.llm.op5_token_files import op5_token_files
@@ -20,6 +21,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding,
+        op2_embedding_dedup,
         op3_mixing,
         op4_warc,
         op5_token_files,
