@@ -124,7 +124,12 @@ def likeness(a: tuple[str, np.ndarray], b: tuple[str, np.ndarray]) -> float:
     """
     if a[0] == b[0]:
         return 1.0
-    x, y = (a[1], b[1]) if len(a[1]) <= len(b[1]) else (b[1], a[1])
+    if len(a[1]) == len(b[1]):
+        return (_likeness(a[1], b[1]) + _likeness(b[1], a[1])) / 2
+    return _likeness(*sorted((a[1], b[1]), key=len))
+
+
+def _likeness(x: np.ndarray, y: np.ndarray) -> float:
     if not len(x):
         return 0.0
     ones_x = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
@@ -253,6 +258,8 @@ def fingerprint_documents(documents: DataFrame, key: str, text: str, block_bytes
 
 def in_blocks(frame: DataFrame, cuts: list[float]) -> DataFrame:
     """Adds ``block``, the number of cuts at or below ``doc_id``; -1 for a null key."""
+    if not cuts:
+        return frame.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(0).cast("long"))
     splits = [-math.inf, *cuts, math.inf]
     found = Bucketizer(splits=splits, inputCol="_key", outputCol="_block").transform(
         frame.withColumn("_key", F.coalesce("doc_id", F.lit(0)).cast("double"))
