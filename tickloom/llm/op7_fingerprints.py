@@ -70,7 +70,7 @@ def features(data: np.ndarray, owner_end: np.ndarray) -> tuple[np.ndarray, np.nd
     WINDOW - 1 of its text; the one of lowest rank, the leftmost among equals, wins.
     """
     n = len(data) - WINDOW + 1
-    if n <= 0:
+    if n < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n)
     inside = at + WINDOW <= owner_end[:n]
