@@ -28,6 +28,14 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(found.select("a", F.col("m").alias("b")))
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every link goes from a node that has no other to a smaller one that has none down."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("root"), (F.col("a") < F.col("b")).alias("up"))
+    ends = ends.unionByName(links.select(F.col("b").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("root"), F.lit(False).alias("up")))
+    nodes = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("root").alias("root"), F.max("up").alias("up"))
+    return nodes.filter((F.col("down") + F.col("root") > 1) | F.col("up")).isEmpty()
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """``id`` and ``component`` (the smallest id reachable) of every id in the links ``a``, ``b``.
 
@@ -36,15 +44,9 @@ def components(links: DataFrame, name: str) -> DataFrame:
     lost executor costs one round at most. Joins on nodes with many links are left to the
     engine's skew handling; minima are combined before the shuffle.
     """
-    clean = lambda frame: frame.filter("a <> b").distinct()
-    now = written(clean(links.select("a", "b")), f"{name}-links")
-    last = None
-    while True:
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first())
-        if state == last or state[0] == 0:
-            break
-        last = state
-        now = written(clean(_small_star(clean(_large_star(now)))), f"{name}-links")
-    leaves = now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    now = written(links.select("a", "b").filter("a <> b").distinct(), f"{name}-links")
+    while not _stars(now):
+        now = written(_small_star(_large_star(now)).filter("a <> b").distinct(), f"{name}-links")
+    leaves = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return leaves.unionByName(roots)

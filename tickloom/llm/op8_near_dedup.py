@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import table
 from tickloom.llm.components import components
-from tickloom.llm.words import Words, encoded, mixed, scan, slices
+from tickloom.llm.words import Words, encoded, mixed, scan, slices, spread
 from tickloom.session import written
 
 SHINGLE = 2
 SIMILARITY = (80, 100)  # 100 * intersection >= 80 * union
 TREES = 16  # a pair of similarity 0.8 that k branchings must not part is missed by all with (1 - 0.8^k)^16
 COORDINATES = 128
-LEAF = 512  # nodes up to this many sets are compared exhaustively
+LEAF = 1024  # nodes up to this many sets are compared exhaustively
+FIRST, FIRST_LOOSE = 32, 14  # coordinates looked at first, and how many must agree: at 0.8, 5 deviations below
 LOOSE = 82  # agreeing coordinates, of 128, of a pair that goes on to the exact test: at 0.8, 4.5 deviations below
 TIGHT = 116  # agreeing coordinates that let a large node leave a set to its pivot
-GROUP_SETS, GROUP_SHINGLES = 2000, 4_000_000  # a group within both is settled by one task
+GROUP_SETS, GROUP_SHINGLES = 4096, 4_000_000  # a group within both is settled by one task
 
 _rng = np.random.default_rng(20240131)
 _MULTIPLY = _rng.integers(1, 1 << 32, COORDINATES, dtype=np.uint32) | np.uint32(1)
@@ -121,11 +122,20 @@ def _stacked(column: pd.Series, dtype) -> np.ndarray:
 
 
 def near(sizes: np.ndarray, sketches: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
-    """Agreeing coordinates of set i with others, -1 where the sizes alone rule a link out."""
+    """Agreeing coordinates of set i with others, -1 where sizes or the first ones rule a link out."""
     part, whole = SIMILARITY
     small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-    agree = (sketches[others] == sketches[i]).sum(axis=1)
-    return np.where(whole * small >= part * large, agree, -1)
+    agree = np.full(len(others), -1)
+    at = np.flatnonzero(whole * small >= part * large)
+    at = at[agreeing(sketches[others[at], :FIRST], sketches[i, :FIRST]) >= FIRST_LOOSE]
+    agree[at] = agreeing(sketches[others[at]], sketches[i])
+    return agree
+
+
+def agreeing(rows: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Number of equal bytes in rows of a multiple of 8 bytes."""
+    same = np.ascontiguousarray(rows == other).view(np.uint64)
+    return np.bitwise_count(same).sum(axis=1, dtype=np.int64)
 
 
 def loose_forest(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -150,6 +160,7 @@ def _pairs(rows: Iterator[tuple[int, int]]) -> pd.DataFrame:
 def compare_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in grouped(batches, "node"):
         if len(frame) > 1:
+            frame = frame.sort_values("id")  # links to small ids, which other trees find too
             links = loose_forest(frame["id"].to_numpy(), frame["n_shingles"].to_numpy(), _stacked(frame["sketch"], np.uint8))
             yield _pairs(links)
 
@@ -182,7 +193,7 @@ def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not len(frame):
             continue
         sizes, other = frame["n_shingles"].to_numpy(), frame["pivot_n"].to_numpy()
-        agree = (_stacked(frame["sketch"], np.uint8) == _stacked(frame["pivot_sketch"], np.uint8)).sum(axis=1)
+        agree = agreeing(_stacked(frame["sketch"], np.uint8), _stacked(frame["pivot_sketch"], np.uint8))
         part, whole = SIMILARITY
         fits = whole * np.minimum(sizes, other) >= part * np.maximum(sizes, other)
         own = frame["id"].to_numpy() == frame["pivot"].to_numpy()
@@ -208,12 +219,11 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     their sets are alike, and no task ever holds a large node.
     """
     spark = reps.sparkSession
-    front = plant(reps)
+    front = written(plant(reps), "op8-front")
     leaves: list[DataFrame] = []
     pivots: list[DataFrame] = []
     level = 0
     while True:
-        front = written(front, f"op8-front{level}")
         counts = front.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "node"), "id")).alias("p"))
         several = counts.filter("n > 1").select("node", "n", F.col("p.id").alias("pivot"))
         placed = written(front.join(several, "node"), f"op8-nodes{level}")
@@ -245,31 +255,42 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return found, written(links.distinct(), "op8-leaf-links"), to_pivots.distinct()
 
 
-def confirmed(frame: pd.DataFrame, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+def confirmed(ids: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
     """Links that join what exact links join among the sets of one group.
 
-    Loose pairs are tested on full sets, the most alike first; a pair that earlier links
-    already join needs no test.
+    Each set is counted against all that no link has reached yet, in one pass over their
+    shingles: no pair is left out.
     """
-    ids, n = frame["id"].to_numpy(), len(sets)
-    sizes, sketches = np.array([len(s) for s in sets]), _stacked(frame["sketch"], np.uint8)
-    root = np.arange(n)
-    left, right, alike = [], [], []
-    for i in range(n - 1):
-        others = np.arange(i + 1, n)
-        agree = near(sizes, sketches, i, others)
-        hit = agree >= LOOSE
-        left.append(np.full(hit.sum(), i))
-        right.append(others[hit])
-        alike.append(agree[hit])
-    if not left:
-        return
-    a, b = np.concatenate(left), np.concatenate(right)
-    order = np.argsort(-np.concatenate(alike), kind="stable")
-    for i, j in zip(a[order].tolist(), b[order].tolist()):
-        if root[i] != root[j] and linked(sets[i], sets[j]):
-            root[root == root[j]] = root[i]
-            yield int(ids[i]), int(ids[j])
+    part, whole = SIMILARITY
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    present = np.zeros(int(numbers.max()) + 1, bool)
+    left, held, begins = np.arange(len(sets)), numbers, starts
+    while len(left) > 1:
+        todo = [left[0]]
+        keep = np.arange(1, len(left))
+        while todo:
+            if len(keep) < len(left):
+                left = left[keep]
+                held = numbers[spread(starts[left], sizes[left])]
+                begins = np.cumsum(sizes[left]) - sizes[left]
+            if not len(left):
+                return
+            i = todo.pop()
+            own = numbers[starts[i] : starts[i] + sizes[i]]
+            present[own] = True
+            both = np.add.reduceat(present[held].view(np.int8), begins, dtype=np.int64)
+            present[own] = False
+            hit = whole * both >= part * (sizes[i] + sizes[left] - both)
+            for j in left[hit]:
+                yield int(ids[i]), int(ids[j])
+            todo += left[hit].tolist()
+            keep = np.flatnonzero(~hit)
+        if len(keep) < len(left):
+            left = left[keep]
+            held = numbers[spread(starts[left], sizes[left])]
+            begins = np.cumsum(sizes[left]) - sizes[left]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -307,13 +328,34 @@ def _sets(frame: pd.DataFrame) -> list[np.ndarray]:
 def by_group(key: str) -> Callable:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in grouped(batches, key):
-            frame = frame.drop_duplicates("id")
-            yield _pairs(confirmed(frame, _sets(frame)))
+            frame = frame.drop_duplicates("id").sort_values("id")
+            yield _pairs(confirmed(frame["id"].to_numpy(), _sets(frame)))
 
     return work
 
 
-def test_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components of groups that a task holds whole."""
+    for frame in grouped(batches, "component"):
+        frame = frame.drop_duplicates("id").sort_values("id")
+        home: dict[int, int] = {}
+        for a, b in confirmed(frame["id"].to_numpy(), _sets(frame)):
+            home[b] = home.setdefault(a, a)
+        yield pd.DataFrame({"id": list(home), "component": list(home.values())}, dtype=np.int64)
+
+
+def large_group_links(sets: DataFrame, leaves: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Exact links among sets of groups that no task may hold whole: those inside the leaves
+    of all trees, and those to the pivots of large nodes."""
+    inside = leaves.join(sets, "id").repartition("node").sortWithinPartitions("node")
+    links = inside.mapInPandas(by_group("node"), "a long, b long")
+    first = sets.select(F.col("id").alias("a"), "shingles")
+    second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("other"))
+    tested = pivots.join(first, "a").join(second, "b").mapInPandas(pairs_linked, "a long, b long")
+    return links.unionByName(tested)
+
+
+def pairs_linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
         mine = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
         other = [np.frombuffer(s, np.uint64) for s in frame["other"]]
@@ -342,24 +384,20 @@ def near_components(documents: DataFrame, key: str, text: str, size: int = SHING
     reps = written(reps, "op8-sets")
     leaves, leaf_links, pivot_links = chosen_paths(reps)
     loose = written(components(leaf_links.unionByName(pivot_links), "op8-loose"), "op8-groups")
-    sized = reps.select("id", "n_shingles", "class", "sketch", "doc").join(loose, "id")
+    sized = reps.select("id", "n_shingles", "class", "doc").join(loose, "id")
     totals = sized.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
     fits = (F.col("sets") <= GROUP_SETS) & (F.col("shingles") <= GROUP_SHINGLES)
     wanted = sized.join(totals.select("component", fits.alias("fits")), "component").select(
-        F.col("doc").alias("id"), F.col("id").alias("set_id"), "class", "component", "sketch", "fits"
+        F.col("doc").alias("id"), F.col("id").alias("set_id"), "class", "component", "fits"
     )
     sets = written(
         full_sets(documents, key, text, size, wanted).drop("id", "class").withColumnRenamed("set_id", "id"), "op8-full"
     )
     small = sets.filter("fits").drop("fits").repartition("component").sortWithinPartitions("component")
-    exact = small.mapInPandas(by_group("component"), "a long, b long")
-    rest = sets.filter("not fits").select("id", "sketch", "shingles")
-    inside = leaves.join(rest, "id").repartition("node").sortWithinPartitions("node")
-    exact = exact.unionByName(inside.mapInPandas(by_group("node"), "a long, b long"))
-    first = rest.select(F.col("id").alias("a"), "shingles")
-    second = rest.select(F.col("id").alias("b"), F.col("shingles").alias("other"))
-    exact = exact.unionByName(pivot_links.join(first, "a").join(second, "b").mapInPandas(test_pairs, "a long, b long"))
-    groups = components(exact, "op8-exact")
+    groups = small.mapInPandas(settled, "id long, component long")
+    rest = sets.filter("not fits").select("id", "shingles")
+    if not rest.isEmpty():
+        groups = groups.unionByName(components(large_group_links(rest, leaves, pivot_links), "op8-exact"))
     homes = reps.select("id", "class", "doc").join(groups, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
