@@ -119,6 +119,15 @@ def test_pair_correlations_against_loops(spark):
     assert compare.top_pair(rows, "abcd").first().overlap_points == most
 
 
+def test_many_keys_do_not_make_a_large_plan(spark):
+    rows = metrics(spark, [(at(0), f"k{i}", 1.0, None, None) for i in range(3)])
+    plans = [
+        compare.top_pair(rows, [f"k{i}" for i in range(n)])._jdf.queryExecution().executedPlan()
+        for n in (3, 300)
+    ]
+    assert plans[1].toString().count("\n") == plans[0].toString().count("\n")
+
+
 def test_pairs_without_common_times_are_absent(spark):
     rows = metrics(spark, [(at(0), "a", 1.0, None, None), (at(1), "b", 1.0, None, None)])
     assert compare.pair_correlations(rows, ["a", "b"]).count() == 0

@@ -48,6 +48,18 @@ def test_upsert_leaves_other_dates_alone(spark):
     assert stored(spark, path).count() == 3
 
 
+def test_upsert_keeps_rows_without_a_time(spark):
+    path = scratch(spark, "t")
+    row = lambda time, key, price: (time, key, key.upper(), price, None, None, 1.0, 1.0, None)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schemas.METRICS)
+    tables.upsert(frame(row(None, "x", 1.0), row(at(0), "y", 1.0)), path, schemas.METRICS)
+    for _ in range(2):
+        tables.upsert(frame(row(None, "z", 2.0), row(at(DAY), "y", 2.0)), path, schemas.METRICS)
+        tables.insert_ignore(frame(row(None, "w", 3.0), row(None, "z", 3.0)), path, schemas.METRICS)
+    got = sorted(rows_of(stored(spark, path), "id", "price"))
+    assert got == [("w", 3.0), ("x", 1.0), ("y", 1.0), ("y", 2.0), ("z", 2.0)]
+
+
 def test_insert_ignore_keeps_stored_rows_and_may_run_twice(spark):
     path = scratch(spark, "t")
     candle = lambda m, o: ("a", "A", at(m), o, o, o, o)

@@ -7,7 +7,6 @@ import pytest
 from tests.data import at, rows_of
 from tickloom import schemas
 from tickloom.operators import reconcile, validation
-from tickloom.operators.hotkeys import SplitPolicy
 from tickloom.sources import messages
 
 FIELDS = "id string, symbol string, current_price double"
@@ -115,14 +114,21 @@ def test_ticks_with_bad_times_get_no_date(spark):
     assert [str(r.dt) for r in out.collect()] == ["2024-01-02", "None"]
 
 
-def test_a_large_batch_becomes_several_messages(spark):
-    rows = [(at(0), f"k{i}", "S", 1.0) for i in range(50)] + [(at(1), "k", "S", 1.0)]
+def test_a_batch_is_one_message_of_any_size(spark):
+    rows = [(at(0), f"k{i}", "S", 1.0) for i in range(20_000)] + [(at(1), "k", "S", 1.0)]
     quotes = spark.createDataFrame(rows, "timestamp timestamp_ntz, " + FIELDS)
-    sent = messages.envelopes(quotes, policy=SplitPolicy(hot_rows=10, slice_rows=10))
-    assert 2 < sent.count() <= 6
-    assert messages.envelopes(quotes).count() == 2
-    back = messages.flatten(sent)
-    assert sorted(rows_of(back, "id")) == sorted((r[1],) for r in rows)
+    sizes = messages.parsed_messages(messages.envelopes(quotes)).selectExpr("size(message.data) n")
+    assert sorted(r.n for r in sizes.collect()) == [1, 20_000]
+
+
+def test_a_caller_may_ask_for_numbered_parts(spark):
+    rows = [(at(m), "same", "S", 1.0) for m in range(6) for _ in range(25)]
+    quotes = spark.createDataFrame(rows, "timestamp timestamp_ntz, " + FIELDS)
+    sent = messages.envelopes(quotes, most_records=10)
+    assert sorted(rows_of(sent, "part")) == [(0,)] * 6 + [(1,)] * 6 + [(2,)] * 6
+    sizes = messages.parsed_messages(sent).selectExpr("size(message.data) n")
+    assert sorted(r.n for r in sizes.collect()) == [5] * 6 + [10] * 12
+    assert messages.flatten(sent).count() == len(rows)
 
 
 def test_reconcile_reports_either_side(spark):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,45 +61,31 @@ def one_key(rows: DataFrame, key: str) -> DataFrame:
 def pair_correlations(metrics: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Correlation and overlap of every pair of the listed keys.
 
-    Each time becomes one row with a price column per listed key (a metrics table
-    holds one row per key and time), and every pair is one aggregate over those
-    columns. No pair of input rows is ever formed, and all that is shuffled is one
-    row per time and input split.
+    Each time becomes one row with the prices of the listed keys seen at it. Pairs are formed
+    inside that row and combined before their shuffle, so no rows are joined, and the plan has
+    the same size for any number of keys.
     """
     listed = sorted(set(ids))
-    pairs = list(combinations(range(len(listed)), 2))
-    is_key = [F.col("id") == key for key in listed]
-    columns = []
-    for i, hit in enumerate(is_key):
-        columns.append(F.max(F.when(hit, F.col("price"))).alias(f"_price{i}"))
-        columns.append(F.coalesce(F.bool_or(hit), F.lit(False)).alias(f"_seen{i}"))
-    by_time = (
+    at_once = (
         listed_keys(metrics, listed)
         .filter(F.col("timestamp").isNotNull())
+        .groupBy("timestamp", "id")
+        .agg(F.max("price").alias("price"))
         .groupBy("timestamp")
-        .agg(*columns)
+        .agg(F.array_sort(F.collect_list(F.struct("id", "price"))).alias("_seen"))
+        .filter(F.size("_seen") > 1)
     )
-    stats = by_time.agg(
-        F.array(
-            *(
-                F.expr(
-                    f"struct({a} AS a, {b} AS b, corr(_price{a}, _price{b}) AS corr,"
-                    f" count_if(_seen{a} AND _seen{b}) AS overlap_points)"
-                )
-                for a, b in pairs
-            )
-        ).alias("_pairs")
+    first = at_once.select("_seen", F.posexplode("_seen").alias("_at", "_a"))
+    later = F.slice("_seen", F.col("_at") + 2, F.size("_seen"))
+    pairs = first.select("_a", F.explode(later).alias("_b")).select(
+        F.col("_a.id").alias("id_a"),
+        F.col("_b.id").alias("id_b"),
+        F.col("_a.price").alias("a"),
+        F.col("_b.price").alias("b"),
     )
-    names = F.array(*map(F.lit, listed))
-    return (
-        stats.select(F.inline("_pairs"))
-        .filter(F.col("overlap_points") > 0)
-        .select(
-            names[F.col("a")].alias("id_a"),
-            names[F.col("b")].alias("id_b"),
-            round_half_up(F.col("corr"), 4).alias("corr"),
-            "overlap_points",
-        )
+    return pairs.groupBy("id_a", "id_b").agg(
+        round_half_up(F.corr("a", "b"), 4).alias("corr"),
+        F.count(F.lit(1)).alias("overlap_points"),
     )
 
 

@@ -773,14 +773,10 @@ def envelope_build(spark, sf_dir):
     total = F.aggregate(
         "message.data", F.lit(0.0), lambda total, record: total + record["current_price"]
     )
-    by_message = parsed.select(
+    return parsed.select(
         F.col("message.timestamp").alias("message_timestamp"),
-        F.size("message.data").alias("records"),
-        total.alias("total"),
-    )
-    # an hour with many records is sent as several messages
-    return by_message.groupBy("message_timestamp").agg(
-        F.sum("records").alias("records"), round_half_up(F.sum("total"), 2).alias("total_price")
+        F.size("message.data").cast("long").alias("records"),
+        round_half_up(total, 2).alias("total_price"),
     )
 
 

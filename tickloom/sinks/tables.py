@@ -11,8 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,9 +53,23 @@ def _stored(
     if not has_data(spark, path):
         return None
     # one row per calendar date, so the broadcast is bounded by the days of a table
-    dates = rows.select(F.to_date(time).alias(DATE_PARTITION)).distinct()
-    kept = read_table(spark, path, schema).join(F.broadcast(dates), DATE_PARTITION, "left_semi")
-    return kept.drop(DATE_PARTITION)
+    dates = rows.select(F.to_date(time).alias("_date")).distinct()
+    table = read_table(spark, path, schema)
+    dated = table.join(
+        F.broadcast(dates), F.col(DATE_PARTITION) == F.col("_date"), "left_semi"
+    )
+    # rows without a time share a partition of their own, which an equality never finds
+    undated = table.filter(F.col(DATE_PARTITION).isNull()).join(
+        F.broadcast(dates.filter("_date is null")),
+        F.col(DATE_PARTITION).eqNullSafe(F.col("_date")),
+        "left_semi",
+    )
+    return dated.unionByName(undated).drop(DATE_PARTITION)
+
+
+def _same_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
+    """Equality of keys in which a null equals a null, so that a rerun finds its own rows."""
+    return reduce(Column.__and__, (left[c].eqNullSafe(right[c]) for c in key))
 
 
 def _one_per_key(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -70,10 +85,10 @@ def merged(
 
     An incoming null replaces a stored value, as the incoming row is the newer one.
     """
-    new = incoming.select(
-        *key, F.struct(*(c for c in incoming.columns if c not in key)).alias("_new")
-    )
+    values = [c for c in incoming.columns if c not in key]
+    new = incoming.select(*(F.col(c).alias(f"_new_{c}") for c in key), F.struct(*values).alias("_new"))
     old = stored.select(*key, F.struct(*(c for c in stored.columns if c not in key)).alias("_old"))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in key))
 
     def pick(name: str):
         first, second = ("_old", "_new") if name in keep else ("_new", "_old")
@@ -83,8 +98,9 @@ def merged(
             .alias(name)
         )
 
-    both = old.join(new, list(key), "full_outer")
-    return both.select(*(c if c in key else pick(c) for c in incoming.columns))
+    both = old.join(new, same, "full_outer")
+    keys = {c: F.coalesce(c, f"_new_{c}").alias(c) for c in key}
+    return both.select(*(keys[c] if c in key else pick(c) for c in incoming.columns))
 
 
 def upsert(
@@ -115,7 +131,8 @@ def insert_ignore(
     incoming = _one_per_key(rows.select(*schema.fieldNames()), key, values)
     stored = _stored(path, schema, rows, time)
     if stored is not None:
-        incoming = incoming.join(stored.select(*key), list(key), "left_anti")
+        known = stored.select(*key)
+        incoming = incoming.join(known, _same_key(incoming, known, key), "left_anti")
     _write(with_date(incoming, time), path, "append", [DATE_PARTITION])
 
 

@@ -4,21 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import DATE_PARTITION
-from tickloom.operators.hotkeys import SplitPolicy, hot_keys
 from tickloom.operators.validation import PRICE_TEXT
 from tickloom.schemas import ENVELOPE, QUOTE
 
 # Fixed value: the time format of a message.
 MESSAGE_TIME = "yyyy-MM-dd HH:mm:ss"
 
-# A message larger than this many records is sent as several.
-_MESSAGE = SplitPolicy(hot_rows=10_000, slice_rows=10_000)
-
-
 def bus_options(servers: str, topic: str) -> dict[str, str]:
     """Subscribe from the earliest offset and tolerate offsets that are gone."""
     return {
@@ -83,35 +78,35 @@ def typed_ticks(raw: DataFrame) -> DataFrame:
     return parsed.withColumn(DATE_PARTITION, F.to_date("timestamp"))
 
 
-def _record_lists(quotes: DataFrame, batch: str, policy: SplitPolicy) -> DataFrame:
-    """One record list per batch, in ``data``; an oversized batch becomes several.
-
-    A batch with more than ``policy.hot_rows`` records is spread by hash over lists
-    of about ``policy.slice_rows``, so no task builds an unbounded list.
-    """
+def _record_lists(quotes: DataFrame, batch: str, most_records: int | None) -> DataFrame:
+    """The record lists of each batch, in ``data``: one, or parts of ``most_records`` in order."""
     fields = F.struct(*(f for f in QUOTE.fieldNames() if f in quotes.columns))
-    hot = hot_keys(quotes, [batch], policy)
-    part = F.coalesce(F.pmod(F.xxhash64(fields), F.col("_pieces")), F.lit(0))
-    # hot has at most max_hot rows by construction
-    return (
-        quotes.join(F.broadcast(hot), batch, "left")
-        .select(batch, part.alias("_part"), fields.alias("_record"))
-        .groupBy(batch, "_part")
-        .agg(F.sort_array(F.collect_list("_record")).alias("data"))
-    )
+    part = F.lit(0)
+    if most_records is not None:
+        place = F.row_number().over(Window.partitionBy(batch).orderBy("_record"))
+        part = F.floor((place - 1) / most_records).cast("int")
+    records = quotes.select(batch, fields.alias("_record")).withColumn("part", part)
+    return records.groupBy(batch, "part").agg(F.sort_array(F.collect_list("_record")).alias("data"))
 
 
 def envelopes(
-    quotes: DataFrame, batch: str = "timestamp", policy: SplitPolicy = _MESSAGE
+    quotes: DataFrame, batch: str = "timestamp", most_records: int | None = None
 ) -> DataFrame:
-    """One JSON message per batch, in ``value``, stamped with the batch time."""
+    """One JSON message per batch, in ``value``, stamped with the batch time.
+
+    A batch is what one fetch brought and becomes one message, whatever its size. A caller
+    whose bus bounds the size of messages names ``most_records``: a batch with more is sent
+    in parts of so many records in their order, numbered in ``part``.
+    """
     stamped = F.struct(F.date_format(batch, MESSAGE_TIME).alias("timestamp"), "data")
-    return _record_lists(quotes, batch, policy).select(batch, F.to_json(stamped).alias("value"))
+    lists = _record_lists(quotes, batch, most_records)
+    numbered = [] if most_records is None else ["part"]
+    return lists.select(batch, *numbered, F.to_json(stamped).alias("value"))
 
 
-def responses(quotes: DataFrame, batch: str, policy: SplitPolicy = _MESSAGE) -> DataFrame:
+def responses(quotes: DataFrame, batch: str) -> DataFrame:
     """Record lists as upstream responses look: a bare JSON list per line, in ``value``."""
-    return _record_lists(quotes, batch, policy).select(batch, F.to_json("data").alias("value"))
+    return _record_lists(quotes, batch, None).select(batch, F.to_json("data").alias("value"))
 
 
 _WHOLE, _FRACTION = r"^BIGINT$", r"^(DOUBLE|FLOAT|DECIMAL.*)$"
