@@ -60,7 +60,7 @@ def _skewed(spark, seed, n):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize(
-    "policy", [SplitPolicy(3, 1), SplitPolicy(20, 7), SplitPolicy(20, 7, max_hot=1)]
+    "policy", [SplitPolicy(3, 1), SplitPolicy(20, 7), SplitPolicy(10**6, 7)]
 )
 def test_slices_equal_whole_keys(spark, seed, policy):
     rows = _skewed(spark, seed, 300).cache()
@@ -72,10 +72,12 @@ def test_slices_equal_whole_keys(spark, seed, policy):
     )
 
 
-def test_hot_list_is_bounded_and_holds_the_largest(spark):
+def test_every_key_above_the_bound_is_hot(spark):
     rows = _skewed(spark, 3, 200)
-    hot = hot_keys(rows, policy=SplitPolicy(hot_rows=5, slice_rows=5, max_hot=1))
-    assert [r.id for r in hot.collect()] == ["hot"]
+    hot = hot_keys(rows, policy=SplitPolicy(hot_rows=60, slice_rows=5)).collect()
+    count = rows.filter("id = 'hot'").count()
+    assert [(r.id, r._pieces) for r in hot] == [("hot", -(-count // 5))]
+    assert hot_keys(rows, policy=SplitPolicy(hot_rows=1, slice_rows=5)).count() == 7
 
 
 def test_a_burst_is_cut_as_finely_as_its_rows_need(spark):
@@ -106,6 +108,17 @@ def test_running_max_over_slices(spark):
     assert sorted(map(repr, rows_of(cut))) == sorted(map(repr, rows_of(plain)))
 
 
+def test_rows_without_a_key_are_cut_too(spark):
+    rows = _skewed(spark, 8, 200).withColumn("id", F.when(F.col("id") != "hot", F.col("id")))
+    hot = hot_keys(rows, policy=SplitPolicy(20, 5)).collect()
+    assert [r.id for r in hot] == [None]
+    plain = sorted(map(repr, rows_of(features(rows, ORDER))))
+    assert sorted(map(repr, rows_of(features(rows, ORDER, SplitPolicy(20, 5))))) == plain
+    cut = running_max(rows, ORDER, "price", "peak", policy=SplitPolicy(20, 5))
+    whole = running_max(rows, ORDER, "price", "peak")
+    assert sorted(map(repr, rows_of(cut))) == sorted(map(repr, rows_of(whole)))
+
+
 def test_rows_without_time_stay(spark):
     rows = _skewed(spark, 5, 100).withColumn(
         "timestamp", F.when(F.col("seq") > 10, F.col("timestamp"))

@@ -10,7 +10,7 @@ from tickloom import schemas
 from tickloom.functions.clock import recent
 from tickloom.operators import anomalies, features, ranking
 from tickloom.operators.candles import candles
-from tickloom.operators.hotkeys import SplitPolicy, time_cuts
+from tickloom.operators.hotkeys import SplitPolicy, hot_keys, no_key_is_hot, time_cuts
 from tickloom.registry import views
 from tickloom.session import scratch
 from tickloom.sinks import tables
@@ -61,9 +61,20 @@ def test_candles_by_time_combine_by_hash_before_the_shuffle(spark):
 
 
 def test_cuts_combine_before_their_shuffles(spark):
-    plan = plan_of(time_cuts(views.ticks_type(spark, SF_DIR), policy=SplitPolicy(100, 10)))
-    assert "TakeOrderedAndProject" in plan
-    assert "partial_percentile_approx" in plan and "partial_count" in plan
+    rows = views.ticks_type(spark, SF_DIR)
+    assert "partial_count" in plan_of(hot_keys(rows, policy=SplitPolicy(100, 10)))
+    assert time_cuts(rows, policy=SplitPolicy(100, 10)).count() == 5
+    assert time_cuts(rows, policy=SplitPolicy(10**6, 10)) is None
+
+
+def test_no_hot_key_means_the_plain_plan(spark):
+    rows = views.ticks_type(spark, SF_DIR)
+    cut = SplitPolicy(hot_rows=200_000, slice_rows=10)  # above the largest key, below the estimate
+    if not no_key_is_hot(rows, cut):
+        cut = SplitPolicy(hot_rows=10**9, slice_rows=10)
+    plain = plan_of(features.features(rows, views.USER_ORDER))
+    counted = features.features(rows, views.USER_ORDER, cut)
+    assert shuffles(plan_of(counted)) == shuffles(plain) == 1
 
 
 def test_short_statistics_are_broadcast_and_rows_not_shuffled(spark):

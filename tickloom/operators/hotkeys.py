@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -22,22 +23,19 @@ from tickloom.session import written
 class SplitPolicy:
     """When and how finely keys are cut.
 
-    At most ``max_hot`` keys are marked hot, those with most rows. Every other key
-    therefore holds less than 1/max_hot of all rows or fewer than ``hot_rows``. A hot
-    key gets at most ``MAX_SLICES`` slices. So the list of hot keys and their cuts,
-    which is broadcast, stays below 32 MB for the default, whatever the data.
+    Every key with more than ``hot_rows`` rows is cut into slices of about ``slice_rows``.
+    There are at most 1/hot_rows as many such keys as rows and about 1/slice_rows as many
+    slices, which is what bounds the list of keys and cuts that is broadcast.
 
     Results per key are broadcast to rows if there are at most ``broadcast_rows``.
     """
 
     hot_rows: int = 4_000_000
     slice_rows: int = 1_000_000
-    max_hot: int = 4096
     broadcast_rows: int = 100_000
 
 
 DEFAULT_POLICY = SplitPolicy()
-MAX_SLICES = 1024
 
 # Assumed width of a row with a key, a time and a value, as stored.
 _ROW_BYTES = 16
@@ -46,8 +44,8 @@ _ROW_BYTES = 16
 def no_key_is_hot(rows: DataFrame, policy: SplitPolicy) -> bool:
     """Whether Spark's size estimate of all rows is that of ``hot_rows`` rows at most.
 
-    Then the plain plan serves. Only the speed depends on the estimate, which well
-    compressed files may undercut, since both plans give the same rows.
+    Then the plain plan serves and no rows need to be counted. Above it the keys are counted,
+    and the plain plan still serves if none is hot; both plans give the same rows.
     """
     size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= policy.hot_rows * _ROW_BYTES
@@ -68,17 +66,16 @@ def _largest(
     counted: DataFrame, rows_column: str, keys: Sequence[str], policy: SplitPolicy
 ) -> DataFrame:
     pieces = F.ceil(F.col(rows_column) / F.lit(policy.slice_rows))
-    return (
-        counted.filter(F.col(rows_column) > policy.hot_rows)
-        .orderBy(F.desc(rows_column), *keys)
-        .limit(policy.max_hot)
-        .select(*keys, F.least(pieces, F.lit(MAX_SLICES)).alias("_pieces"))
-    )
+    hot = counted.filter(F.col(rows_column) > policy.hot_rows)
+    return hot.select(*keys, pieces.alias("_pieces"))
 
 
 def _mark(rows: DataFrame, keys: Sequence[str], hot: DataFrame, how: str = "left") -> DataFrame:
-    # hot has at most max_hot rows by construction, so this broadcast is bounded
-    return rows.join(F.broadcast(hot), list(keys), how)
+    """Rows with what is known of their key; a null key may be hot like any other."""
+    named = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    same = reduce(Column.__and__, (rows[k].eqNullSafe(named[f"_hot_{k}"]) for k in keys))
+    # at most 1/hot_rows as many keys as rows
+    return rows.join(F.broadcast(named), same, how).drop(*(f"_hot_{k}" for k in keys))
 
 
 def time_cuts(
@@ -86,34 +83,38 @@ def time_cuts(
     keys: Sequence[str] = ("id",),
     time: str = "timestamp",
     policy: SplitPolicy = DEFAULT_POLICY,
-) -> DataFrame:
+) -> DataFrame | None:
     """The hot keys with the times to cut at, which put about as many rows in each slice.
 
-    The cuts are approximate quantiles, so a burst of ticks is cut as finely as its
-    rows need. Where they fall does not matter for the results.
+    None if no key is hot, which one count over the keys tells. The cuts are approximate
+    quantiles, so a burst of ticks is cut as finely as its rows need. Where they fall does
+    not matter for the results.
     """
-    hot = hot_keys(rows, keys, policy)
-    shares = ", ".join(f"{i / MAX_SLICES}D" for i in range(1, MAX_SLICES))
-    quantiles = (
-        _mark(rows.select(*keys, micros(F.col(time)).alias("_time")), keys, hot, "inner")
-        .groupBy(*keys, "_pieces")
-        .agg(F.expr(f"percentile_approx(_time, array({shares}), 10000)").alias("_quantiles"))
+    hot = written(hot_keys(rows, keys, policy), "hot-keys")
+    most = hot.agg(F.max("_pieces")).first()[0]
+    if most is None:
+        return None
+    steps = max(2, most)
+    shares = [i / steps for i in range(1, steps)]
+    marked = _mark(rows.select(*keys, micros(F.col(time)).alias("_time")), keys, hot, "inner")
+    quantiles = marked.groupBy(*keys, "_pieces").agg(
+        F.percentile_approx("_time", shares, 10 * steps + 1000).alias("_quantiles")
     )
-    steps = F.when(F.col("_pieces") > 1, F.sequence(F.lit(1).cast("long"), F.col("_pieces") - 1))
+    wanted = F.when(F.col("_pieces") > 1, F.sequence(F.lit(1).cast("long"), F.col("_pieces") - 1))
     cuts = F.transform(
-        F.coalesce(steps, F.array().cast("array<bigint>")),
-        lambda i: F.get("_quantiles", F.floor(i * MAX_SLICES / F.col("_pieces")).cast("int") - 1),
+        F.coalesce(wanted, F.array().cast("array<bigint>")),
+        lambda i: F.get("_quantiles", F.floor(i * steps / F.col("_pieces")).cast("int") - 1),
     )
-    return quantiles.select(*keys, F.array_distinct(cuts).alias("_cuts"))
+    return written(quantiles.select(*keys, F.array_distinct(cuts).alias("_cuts")), "cuts")
 
 
-def _count_cuts(rows: DataFrame, time: Column) -> DataFrame:
+def _count_cuts(rows: DataFrame, time: Column, steps: int) -> DataFrame:
     """Add ``_slice``: how many cuts lie at or before ``time``, 0 for a null time.
 
     A binary search with a column per step, so that all steps are generated code.
     """
     found = rows.withColumns({"_slice": F.lit(0), "_time": time})
-    for k in reversed(range(MAX_SLICES.bit_length())):
+    for k in reversed(range(steps.bit_length())):
         stride = 1 << k
         further = F.get("_cuts", F.col("_slice") + (stride - 1)) <= F.col("_time")
         found = found.withColumn(
@@ -129,7 +130,8 @@ def with_slices(
 
     An inner join leaves the hot keys only.
     """
-    placed = _count_cuts(_mark(rows, keys, cuts, how), micros(F.col(time)))
+    steps = (cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0) + 1
+    placed = _count_cuts(_mark(rows, keys, cuts, how), micros(F.col(time)), steps)
     hot = F.col("_cuts").isNotNull()
     return placed.select(*rows.columns, F.when(hot, F.col("_slice")).alias("_slice"))
 
@@ -151,11 +153,12 @@ def lookback_window(
     a window over the rows beside the cuts, where their predecessors are adjacent.
     """
     across = Window.partitionBy(*keys).orderBy(*order)
-    if cuts is None and no_key_is_hot(rows, policy):
+    time = order[0]
+    if cuts is None and not no_key_is_hot(rows, policy):
+        cuts = time_cuts(rows, keys, time, policy)
+    if cuts is None:
         return rows.withColumns(dict(columns(across)))
 
-    time = order[0]
-    cuts = time_cuts(rows, keys, time, policy) if cuts is None else cuts
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     position = F.row_number().over(within)
 
@@ -190,12 +193,13 @@ def running_max(
     Slices of hot keys start from the largest value of the slices before them.
     """
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if cuts is None and no_key_is_hot(rows, policy):
+    time = order[0]
+    if cuts is None and not no_key_is_hot(rows, policy):
+        cuts = time_cuts(rows, keys, time, policy)
+    if cuts is None:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return rows.withColumn(name, F.max(value).over(whole))
 
-    time = order[0]
-    cuts = time_cuts(rows, keys, time, policy) if cuts is None else cuts
     sliced = with_slices(rows, keys, time, cuts)
     earlier = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -208,8 +212,12 @@ def running_max(
         .select(*keys, "_slice", F.max("_top").over(earlier).alias("_carry"))
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(*so_far)
+    renamed = carried.withColumnsRenamed({k: f"_of_{k}" for k in (*keys, "_slice")})
+    same = reduce(
+        Column.__and__, (sliced[k].eqNullSafe(renamed[f"_of_{k}"]) for k in (*keys, "_slice"))
+    )
     return (
-        sliced.join(carried, [*keys, "_slice"], "left")
+        sliced.join(renamed, same, "left")
         .withColumn(name, F.greatest(F.max(value).over(within), F.col("_carry")))
         .select(*rows.columns, name)
     )

@@ -86,12 +86,12 @@ def cross_run(
     signed = priced.filter((F.col("price") != 0) & unequal).select(
         *dict.fromkeys(["id", *order, "price"]), F.signum(gap).cast("int").alias("side")
     )
-    if no_key_is_hot(priced, policy):
-        turned, cuts = _turned(signed, order, policy, None), None
-    else:
-        # both look-backs use one list of cuts and read their input twice
-        cuts = written(time_cuts(priced, ["id"], order[0], policy), "cuts")
-        turned = written(_turned(signed, order, policy, cuts), "turns")
+    # both look-backs use one list of cuts
+    plain = no_key_is_hot(priced, policy)
+    cuts = None if plain else time_cuts(priced, ["id"], order[0], policy)
+    turned = _turned(signed, order, policy, cuts)
+    if cuts is not None:  # then it is read twice
+        turned = written(turned, "turns")
     flips = lookback_window(
         turned,
         order,
