@@ -1,4 +1,4 @@
-"""The operators over their whole tables, by name."""
+"""The operators over their whole tables, by name, with SQL of the same meaning where there is any."""
 
 from __future__ import annotations
 
@@ -33,4 +33,53 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-LLM_ORACLES: dict[str, str] = {}
+# The others fit models, search, or call libraries that SQL has no counterpart of.
+LLM_ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reached(x, y) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+homes AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(counts.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN homes ON homes.x = v.vec_id LEFT JOIN counts ON counts.x = v.vec_id""",
+    "op4_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+r AS (SELECT *, strlen(html) >= 100 AND page_id <> first AS again FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM r""",
+    "op8_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) < 2 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingles
+  FROM w),
+numbered AS (SELECT doc_id, len(shingles) AS n, shingles FROM s),
+flat AS (SELECT doc_id, n, hash(unnest(shingles)) AS h FROM numbered),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS shared
+  FROM flat a JOIN flat b ON a.h = b.h AND a.doc_id < b.doc_id
+   AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY ALL),
+links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 80 * (nx + ny - shared)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(x, y) AS (
+  SELECT doc_id, doc_id FROM numbered
+  UNION
+  SELECT reached.x, sides.y FROM reached JOIN sides ON reached.y = sides.x),
+homes AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM numbered JOIN homes ON homes.x = doc_id""",
+}
