@@ -70,6 +70,26 @@ def test_insert_ignore_keeps_stored_rows_and_may_run_twice(spark):
     assert sorted(rows_of(stored(spark, path, schemas.CANDLES), "open")) == [(1.0,), (2.0,)]
 
 
+def test_compaction_sorts_closed_dates_into_few_files(spark):
+    path = scratch(spark, "t")
+    for n in range(4):
+        rows = metrics(spark, *((m, f"k{m * 7 % 5}", "S", float(n), 0.0) for m in (n, n + 9, DAY + n)))
+        tables.append(rows.repartition(2), path, "timestamp")
+    before = sorted(map(repr, rows_of(stored(spark, path))))
+    files_of = lambda date: {
+        r[0] for r in spark.read.parquet(path).filter(f"dt = '{date}'").select("_metadata.file_path").collect()
+    }
+    first, second = (str(at(m).date()) for m in (0, DAY))
+    still_open = files_of(second)
+    for _ in range(2):
+        tables.compact(spark, path, schemas.METRICS, at(DAY).date())
+    assert sorted(map(repr, rows_of(stored(spark, path)))) == before
+    assert len(files_of(first)) == 1 and files_of(second) == still_open and len(still_open) > 1
+    (name,) = files_of(first)
+    got = rows_of(spark.read.parquet(name), "id", "timestamp")
+    assert got == sorted(got)
+
+
 def test_an_empty_snapshot_replaces_a_full_one(spark):
     path = scratch(spark, "s")
     assert tables.current_snapshot(spark, path, schemas.MOVERS).count() == 0

@@ -905,12 +905,28 @@ def _metrics_back(spark, path):
   SELECT "timestamp", id, CASE WHEN {_OLD} THEN symbol ELSE symbol || '*' END AS symbol,
          CASE WHEN {_NEW} THEN price + 1 ELSE price END AS price, change_1min,
          CASE WHEN {_NEW} THEN NULL ELSE change_5min END AS change_5min, sma, ema, volatility
-  FROM metrics_user)
+  FROM metrics_user
+  UNION ALL
+  SELECT NULL, 'old ' || id, symbol, max(price), NULL, NULL, NULL, NULL, NULL
+  FROM metrics_user GROUP BY id, symbol
+  UNION ALL
+  SELECT NULL, 'new ' || id, symbol || '*', max(price) + 1, NULL, NULL, NULL, NULL, NULL
+  FROM metrics_user GROUP BY id, symbol)
   SELECT {_METRICS_OUT} FROM halves""")
 def sink_upsert(spark, sf_dir):
-    """Incoming values win, nulls too, but the stored symbol stays."""
+    """Incoming values win, nulls too, but the stored symbol stays; rows without a time stay."""
     path = scratch(spark, "metrics")
-    stored, incoming = _halves(v.metrics_user(spark, sf_dir).drop("seq"))
+    rows = v.metrics_user(spark, sf_dir).drop("seq")
+    stored, incoming = _halves(rows)
+    untimed = rows.groupBy("id", "symbol").agg(F.max("price").alias("price"))
+    empty = {c: F.lit(None).cast(schemas.METRICS[c].dataType) for c in rows.columns}
+
+    def planted(kind: str):
+        named = {"id": F.concat(F.lit(kind), "id"), "symbol": F.col("symbol"), "price": F.col("price")}
+        return untimed.select(*(named.get(c, empty[c]).alias(c) for c in rows.columns))
+
+    stored = stored.unionByName(planted("old "))
+    incoming = incoming.unionByName(planted("new "))
     changed = incoming.withColumns(
         {
             "symbol": F.concat("symbol", F.lit("*")),
@@ -923,6 +939,19 @@ def sink_upsert(spark, sf_dir):
     return _metrics_back(spark, path)
 
 
+@query(f"""{using("metrics_user")}
+  SELECT {_METRICS_OUT} FROM metrics_user""")
+def sink_compact(spark, sf_dir):
+    """Rows of a table that came in many small writes are all there after compaction."""
+    path = scratch(spark, "metrics")
+    rows = v.metrics_user(spark, sf_dir).drop("seq")
+    for part in range(3):
+        tables.append(rows.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == part), path, "timestamp")
+    for _ in range(2):
+        tables.compact(spark, path, schemas.METRICS, _STORED_UNTIL.date())
+    return _metrics_back(spark, path)
+
+
 @query(f"""{using("ticks_type")}, {_HOURLY}
   SELECT id, symbol, "timestamp", CASE WHEN {_OLD} THEN open ELSE open + 1 END AS open,
          high, low, close FROM candles""")

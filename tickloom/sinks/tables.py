@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -152,6 +152,33 @@ def append(rows: DataFrame, path: str, time: str) -> None:
     _write(with_date(rows, time), path, "append", [DATE_PARTITION])
 
 
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    before: date,
+    order: Sequence[str] = KEY,
+) -> None:
+    """Rewrite the dates before a day as few files, each sorted by ``order``.
+
+    Appends leave a file for each task, date and trigger. Sorted files keep the rows of one
+    key together, so that the statistics of row groups let a read of one key skip the others.
+    Dates on or after ``before`` are left to writers that may still add rows. Partitions are
+    swapped as in any other write here, and a rerun writes the same rows again.
+    """
+    if not has_data(spark, path):
+        return
+    closed = read_table(spark, path, schema).filter(F.col(DATE_PARTITION) < F.lit(before))
+    (
+        closed.hint("rebalance", DATE_PARTITION)
+        .sortWithinPartitions(DATE_PARTITION, *order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DATE_PARTITION)
+        .parquet(path)
+    )
+
+
 def replace_snapshot(rows: DataFrame, path: str, run_id: str) -> None:
     """Write a whole snapshot, empty or not, in its own folder; run ids sort by time.
 
