@@ -11,6 +11,7 @@ from tickloom.functions.clock import recent
 from tickloom.operators import anomalies, features, ranking
 from tickloom.operators.candles import candles
 from tickloom.operators.hotkeys import SplitPolicy, hot_keys, no_key_is_hot, time_cuts
+from tickloom.operators.risk import drawdown
 from tickloom.registry import views
 from tickloom.session import scratch
 from tickloom.sinks import tables
@@ -87,3 +88,9 @@ def test_short_statistics_are_broadcast_and_rows_not_shuffled(spark):
     spread = plan_of(anomalies.z_scores(metrics, SplitPolicy(10, 5, broadcast_rows=0)))
     assert "_salt" in spread
 
+
+
+def test_drawdown_of_cut_keys_joins_nothing_back(spark):
+    plan = plan_of(drawdown(views.ticks_type(spark, SF_DIR), policy=SplitPolicy(100, 10)))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.count("Join") == plan.count("BroadcastHashJoin")

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import at_most, clamp, round_half_up, zero_if_null
 from tickloom.operators.anomalies import anomaly_count
-from tickloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy, running_max
+from tickloom.operators.hotkeys import (
+    DEFAULT_POLICY,
+    SplitPolicy,
+    no_key_is_hot,
+    time_cuts,
+    with_slices,
+)
 
 # Weight and ceiling of each part of the score, and the band edges.
 VOLATILITY = {"weight": 25.0, "ceiling": 35.0}
@@ -25,11 +31,35 @@ def drawdown(
     order: Sequence[str] = ("timestamp",),
     policy: SplitPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Worst fall from the running peak per key, as a fraction; a zero peak is skipped."""
+    """Worst fall from the running peak per key, as a fraction; a zero peak is skipped.
+
+    Prices are not negative (validated). A key is cut into slices only if it is hot. A slice
+    keeps its worst fall from its own peaks, its highest and its lowest price; with the peak of
+    the slices before it, these tell its worst fall from any peak, so rows are read once and
+    nothing is joined back to them.
+    """
     prices = metrics.select(*dict.fromkeys(["id", *order, "price"]))
-    peaks = running_max(prices, order, "price", "_peak", policy=policy)
-    fall = F.try_divide(F.col("price"), F.col("_peak")) - 1
-    return peaks.groupBy("id").agg(F.min(fall).alias("worst_drawdown"))
+    plain = no_key_is_hot(prices, policy)
+    cuts = None if plain else time_cuts(prices, ["id"], order[0], policy)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    if cuts is None:
+        whole = Window.partitionBy("id").orderBy(*order).rowsBetween(*so_far)
+        fall = F.try_divide(F.col("price"), F.max("price").over(whole)) - 1
+        return prices.withColumn("_fall", fall).groupBy("id").agg(
+            F.min("_fall").alias("worst_drawdown")
+        )
+    inside = Window.partitionBy("id", "_slice").orderBy(*order).rowsBetween(*so_far)
+    earlier = Window.partitionBy("id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each slice of a key
+    slices = (
+        with_slices(prices, ["id"], order[0], cuts)
+        .withColumn("_part", F.try_divide(F.col("price"), F.max("price").over(inside)))
+        .groupBy("id", "_slice")
+        .agg(F.min("_part").alias("_part"), F.max("price").alias("_top"), F.min("price").alias("_low"))
+        .withColumn("_peak", F.max("_top").over(earlier))
+    )
+    part = F.least("_part", F.try_divide(F.col("_low"), F.col("_peak")))
+    return slices.groupBy("id").agg((F.min(part) - 1).alias("worst_drawdown"))
 
 
 def risk_scores(
