@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.schemas import ENVELOPE
+from tickloom.sources.messages import BAD_SHAPE
 
-# Error texts of the delivery check.
+# Fixed value: an error text of the delivery check.
 NO_MESSAGES = "No messages found after push"
-BAD_SHAPE = "Unexpected message format"
 
 
 def reconcile(published: DataFrame, landed: DataFrame, key: str = "run_id") -> DataFrame:

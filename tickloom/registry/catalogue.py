@@ -846,16 +846,16 @@ def response_guard(spark, sf_dir):
          count(*) FILTER (WHERE reason IS NOT NULL) = 0 AS complete
   FROM judged GROUP BY {_HOUR_TEXT}""")
 def delivery_reconcile(spark, sf_dir):
-    """Records in the published messages against records that passed validation."""
+    """Records in the published messages against those that a written lake holds."""
     sent = messages.envelopes(_hourly_quotes(v.quotes(spark, sf_dir)))
     published = messages.parsed_messages(sent).select(
         F.col("message.timestamp").alias("run_id"),
         F.size("message.data").alias("records_pushed"),
     )
-    landed = validation.valid_quotes(ingest.quotes_of(sent)).withColumnRenamed(
-        "timestamp", "run_id"
-    )
-    return reconcile.reconcile(published, landed)
+    lake_path = scratch(spark, "lake")
+    valid = validation.valid_quotes(ingest.quotes_of(sent))
+    valid.withColumnRenamed("timestamp", "run_id").write.parquet(lake_path)
+    return reconcile.reconcile(published, spark.read.parquet(lake_path))
 
 
 _BUS = f"""bus AS (

@@ -11,8 +11,9 @@ from tickloom.functions.clock import DATE_PARTITION
 from tickloom.operators.validation import PRICE_TEXT
 from tickloom.schemas import ENVELOPE, QUOTE
 
-# Fixed value: the time format of a message.
+# The time format of a message, and the error text of one that can't be read.
 MESSAGE_TIME = "yyyy-MM-dd HH:mm:ss"
+BAD_SHAPE = "Unexpected message format"
 
 def bus_options(servers: str, topic: str) -> dict[str, str]:
     """Subscribe from the earliest offset and tolerate offsets that are gone."""
@@ -62,7 +63,7 @@ def unreadable(messages: DataFrame) -> DataFrame:
         .filter(F.col("message.data").isNull())
         .select(
             F.col("raw").alias("payload"),
-            F.lit("Unexpected message format").alias("error_message"),
+            F.lit(BAD_SHAPE).alias("error_message"),
         )
     )
 
