@@ -121,35 +121,37 @@ def _stacked(column: pd.Series, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype).reshape(len(column), -1)
 
 
-def near(sizes: np.ndarray, sketches: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
-    """Agreeing coordinates of set i with others, -1 where sizes or the first ones rule a link out."""
-    part, whole = SIMILARITY
-    small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-    agree = np.full(len(others), -1)
-    at = np.flatnonzero(whole * small >= part * large)
-    at = at[agreeing(sketches[others[at], :FIRST], sketches[i, :FIRST]) >= FIRST_LOOSE]
-    agree[at] = agreeing(sketches[others[at]], sketches[i])
-    return agree
-
-
 def agreeing(rows: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Number of equal bytes in rows of a multiple of 8 bytes."""
     same = np.ascontiguousarray(rows == other).view(np.uint64)
     return np.bitwise_count(same).sum(axis=1, dtype=np.int64)
 
 
-def loose_forest(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Links that join what loose pairs join, from comparing all pairs of a small node."""
-    left = np.arange(len(ids))
-    while len(left):
-        todo, left = [left[0]], left[1:]
-        while todo and len(left):
-            i = todo.pop()
-            hit = near(sizes, sketches, i, left) >= LOOSE
-            for j in left[hit]:
-                yield int(ids[i]), int(ids[j])
-            todo += left[hit].tolist()
-            left = left[~hit]
+def loose_links(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links that join what loose pairs join, from comparing all pairs of a small node.
+
+    In order of size, the sets whose sizes allow a link follow each other. Links go to the
+    smallest id of what is joined, which other trees find too.
+    """
+    part, whole = SIMILARITY
+    order = np.argsort(sizes, kind="stable")
+    ids, sizes, sketches = ids[order], sizes[order], sketches[order]
+    first = np.ascontiguousarray(sketches[:, :FIRST])
+    upto = np.searchsorted(sizes, sizes * whole // part, side="right").tolist()
+    root = np.arange(len(ids))
+    for i, end in enumerate(upto):
+        if end <= i + 1:
+            continue
+        at = i + 1 + np.flatnonzero(agreeing(first[i + 1 : end], first[i]) >= FIRST_LOOSE)
+        if len(at):
+            at = at[agreeing(sketches[at], sketches[i]) >= LOOSE]
+            for r in set(root[at].tolist()) - {int(root[i])}:
+                root[root == r] = root[i]
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, ids)
+    for a, b in zip(least[root].tolist(), ids.tolist()):
+        if a != b:
+            yield a, b
 
 
 def _pairs(rows: Iterator[tuple[int, int]]) -> pd.DataFrame:
@@ -160,8 +162,7 @@ def _pairs(rows: Iterator[tuple[int, int]]) -> pd.DataFrame:
 def compare_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in grouped(batches, "node"):
         if len(frame) > 1:
-            frame = frame.sort_values("id")  # links to small ids, which other trees find too
-            links = loose_forest(frame["id"].to_numpy(), frame["n_shingles"].to_numpy(), _stacked(frame["sketch"], np.uint8))
+            links = loose_links(frame["id"].to_numpy(), frame["n_shingles"].to_numpy(), _stacked(frame["sketch"], np.uint8))
             yield _pairs(links)
 
 
