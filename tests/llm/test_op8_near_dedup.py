@@ -98,6 +98,25 @@ def test_large_nodes_and_large_groups(spark, monkeypatch):
     assert sum(g != w for g, w in zip(got, want)) <= 1  # trees reach a target recall
 
 
+def test_large_groups_lose_no_link(spark, monkeypatch):
+    for name, value in {"LEAF": 6, "GROUP_SETS": 6, "TREES": 4, "BLOCK_SETS": 7}.items():
+        monkeypatch.setattr(op, name, value)
+    rng = random.Random(5)
+    words, rows = [f"w{i}" for i in range(100)], []
+    # a chain in which only neighbours may link, with copies close to some of its texts
+    for i in range(40):
+        for k in rng.sample(range(i % 3, 100, 3), rng.choice([5, 5, 5, 6])):
+            words[k] = f"n{i}k{k}"
+        rows.append((10 * i, " ".join(words)))
+        for n in range(1, rng.choice([1, 4])):
+            near = list(words)
+            near[rng.randrange(100)] = f"m{n}"
+            rows.append((10 * i + n, " ".join(near)))
+    want = brute(rows, 2)
+    assert 3 < len({w[2] for w in want}) < 40
+    assert result(spark, rows, 2) == want
+
+
 @pytest.mark.parametrize("size", [1, 2, 5])
 def test_shingle_sets(size):
     texts = ["", "a", "a b", "a b c d e f", "A B a b A b", "x " * 50]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import table
+from tickloom.llm.common import running, table
 from tickloom.llm.components import components
 from tickloom.llm.words import Words, encoded, mixed, scan, slices, spread
 from tickloom.session import written
@@ -24,6 +24,7 @@ FIRST, FIRST_LOOSE = 32, 14  # coordinates looked at first, and how many must ag
 LOOSE = 82  # agreeing coordinates, of 128, of a pair that goes on to the exact test: at 0.8, 4.5 deviations below
 TIGHT = 116  # agreeing coordinates that let a large node leave a set to its pivot
 GROUP_SETS, GROUP_SHINGLES = 4096, 4_000_000  # a group within both is settled by one task
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000  # of larger groups, a task compares two blocks of about so much
 
 _rng = np.random.default_rng(20240131)
 _MULTIPLY = _rng.integers(1, 1 << 32, COORDINATES, dtype=np.uint32) | np.uint32(1)
@@ -189,7 +190,11 @@ def plant(reps: DataFrame) -> DataFrame:
 
 
 def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sets of large nodes against their pivots: links to it, and the child nodes of all but tight ones."""
+    """Sets of large nodes against their pivots: links to it, and the child nodes of all but tight ones.
+
+    A set that agrees with one left to the pivot in LOOSE coordinates agrees with the pivot in
+    LOOSE + TIGHT - COORDINATES of them at least, whatever their sizes are; so these are linked.
+    """
     for frame in batches:
         if not len(frame):
             continue
@@ -204,7 +209,7 @@ def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "node": child,
                 "id": frame["id"].to_numpy(),
                 "pivot": frame["pivot"].to_numpy(),
-                "linked": fits & (agree >= LOOSE) & ~own,
+                "linked": (agree >= LOOSE + TIGHT - COORDINATES) & ~own,
                 "stays": own | ~(fits & (agree >= TIGHT)),
             }
         )
@@ -216,8 +221,8 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     A node draws a coordinate and parts its sets by their minwise value there. Nodes of up to
     LEAF sets are leaves. A larger node first compares all its sets with one pivot, drawn by a
     hash; sets that are all but equal to it (TIGHT) go no further in this node, since whatever
-    is similar to them is at least loosely similar to the pivot. So nodes shrink even if all
-    their sets are alike, and no task ever holds a large node.
+    is similar to them is linked to the pivot too, loosely. So nodes shrink even if all their
+    sets are alike, and no task ever holds a large node.
     """
     spark = reps.sparkSession
     front = written(plant(reps), "op8-front")
@@ -346,8 +351,8 @@ def settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def large_group_links(sets: DataFrame, leaves: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Exact links among sets of groups that no task may hold whole: those inside the leaves
-    of all trees, and those to the pivots of large nodes."""
+    """Exact links among sets of groups that no task may hold whole, as far as the trees show
+    them: those inside the leaves of all trees, and those to the pivots of large nodes."""
     inside = leaves.join(sets, "id").repartition("node").sortWithinPartitions("node")
     links = inside.mapInPandas(by_group("node"), "a long, b long")
     first = sets.select(F.col("id").alias("a"), "shingles")
@@ -364,13 +369,97 @@ def pairs_linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[ok, ["a", "b"]]
 
 
+def compare_apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links that join sets of one block (``apart``) with those of another, on full sets.
+
+    Each set is counted against all whose sizes allow a link, in one pass over their shingles,
+    unless all of them are joined with it already.
+    """
+    part, whole = SIMILARITY
+    for frame in grouped(batches, "pair"):
+        frame = frame.drop_duplicates(["apart", "id"]).sort_values(["apart", "n_shingles", "id"])
+        ids, sizes, label = frame["id"].to_numpy(), frame["n_shingles"].to_numpy(), frame["label"].to_numpy().copy()
+        n = int((~frame["apart"].to_numpy()).sum())  # these come first, in order of size
+        numbers = np.unique(np.concatenate(_sets(frame)), return_inverse=True)[1].astype(np.int32)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        present = np.zeros(int(numbers.max()) + 1, bool)
+        links = []
+        for i in range(n, len(ids)):
+            a = int(np.searchsorted(sizes[:n], -(-sizes[i] * part // whole)))
+            b = int(np.searchsorted(sizes[:n], sizes[i] * whole // part, side="right"))
+            if not (label[a:b] != label[i]).any():
+                continue
+            own = numbers[starts[i] : starts[i + 1]]
+            present[own] = True
+            both = np.add.reduceat(present[numbers[starts[a] : starts[b]]].view(np.int8), starts[a:b] - starts[a], dtype=np.int64)
+            present[own] = False
+            for j in a + np.flatnonzero(whole * both >= part * (sizes[i] + sizes[a:b] - both)):
+                if label[j] != label[i]:
+                    links.append((int(ids[i]), int(ids[j])))
+                    label[label == label[j]] = label[i]
+        yield _pairs(iter(links))
+
+
+def apart_links(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """Exact links that the trees left out in groups that no task may hold whole.
+
+    ``known`` has the components of the exact links found so far. Of two sets of a group that
+    are not joined by them, one at least is outside of the group's largest component; so the
+    sets outside, in blocks, are compared with all sets of the group, in blocks, on full sets.
+    No pair is left out but those whose sizes rule out a link. Sets that the trees joined as
+    they should cost nothing; where many are apart, work grows with their number times that of
+    the group, and a task's memory does not.
+    """
+    part, whole = SIMILARITY
+    slim = sets.select("id", "component", "n_shingles").dropDuplicates(["id"])
+    slim = slim.join(known.select("id", F.col("component").alias("label")), "id", "left")
+    slim = written(slim.withColumn("label", F.coalesce("label", "id")), "op8-labels")
+    sized = slim.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sized.groupBy("component").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+    # one row for each of the large groups
+    marked = slim.join(F.broadcast(largest), "component")
+    outside = marked.filter("label <> main").drop("main")
+
+    def in_blocks(rows: DataFrame, name: str, apart: bool) -> tuple[DataFrame, DataFrame]:
+        placed = running(rows, ["component", "n_shingles", "id"], {"_nth": F.lit(1), "_sum": F.col("n_shingles")}, name)
+        block = F.concat_ws("-", F.floor(F.col("_nth") / BLOCK_SETS), F.floor(F.col("_sum") / BLOCK_SHINGLES))
+        placed = written(placed.withColumns({"block": block, "apart": F.lit(apart)}).drop("_nth", "_sum"), f"{name}-blocks")
+        return placed, placed.groupBy("component", "block").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
+
+    ours, first = in_blocks(outside, "op8-outside", True)
+    every, second = in_blocks(slim, "op8-inside", False)
+    a, b = first.alias("a"), second.alias("b")
+    fits = (F.col("a.low") * part <= F.col("b.high") * whole) & (F.col("b.low") * part <= F.col("a.high") * whole)
+    pairs = a.join(b, (F.col("a.component") == F.col("b.component")) & fits).select(
+        "a.component",
+        F.col("a.block").alias("one"),
+        F.col("b.block").alias("other"),
+        F.concat_ws(" ", "a.component", "a.block", "b.block").alias("pair"),
+    )
+    pairs = written(pairs, "op8-blocks")
+    ours = ours.join(pairs.withColumnRenamed("one", "block").drop("other"), ["component", "block"])
+    every = every.join(pairs.withColumnRenamed("other", "block").drop("one"), ["component", "block"])
+    sent = ours.unionByName(every).select("pair", "apart", "id", "n_shingles", "label").join(sets.select("id", "shingles"), "id")
+    return sent.repartition("pair").sortWithinPartitions("pair").mapInPandas(compare_apart, "a long, b long")
+
+
+def large_groups(sets: DataFrame, leaves: DataFrame, pivots: DataFrame) -> DataFrame:
+    """``id`` and ``component`` of sets of groups that no task may hold whole."""
+    known = written(components(large_group_links(sets.select("id", "shingles"), leaves, pivots), "op8-exact"), "op8-known")
+    more = written(apart_links(sets, known), "op8-apart")
+    if more.isEmpty():
+        return known
+    return components(known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more), "op8-joined")
+
+
 def near_components(documents: DataFrame, key: str, text: str, size: int = SHINGLE) -> DataFrame:
     """``id``, ``n_shingles``, ``component_id`` and ``kept`` for every document.
 
     Documents are linked if their sets of shingles have a Jaccard similarity of 0.8 or more,
     confirmed on full sets. Equal sets are taken together first. The trees give loose links,
-    whose components hold all true links; a component of bounded size is settled by one task
-    on full sets, a larger one leaf by leaf and pivot by pivot, so no task holds it whole.
+    whose components hold the true links; a component of bounded size is settled by one task
+    on full sets, a larger one leaf by leaf and pivot by pivot, and what these leave apart
+    block by block, so all its links count and no task holds it whole.
     Repeated rows share their component. A null id is in no component: ``component_id`` is
     null and the row is kept. Texts without words link with nothing.
     """
@@ -389,16 +478,16 @@ def near_components(documents: DataFrame, key: str, text: str, size: int = SHING
     totals = sized.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
     fits = (F.col("sets") <= GROUP_SETS) & (F.col("shingles") <= GROUP_SHINGLES)
     wanted = sized.join(totals.select("component", fits.alias("fits")), "component").select(
-        F.col("doc").alias("id"), F.col("id").alias("set_id"), "class", "component", "fits"
+        F.col("doc").alias("id"), F.col("id").alias("set_id"), "class", "component", "n_shingles", "fits"
     )
     sets = written(
         full_sets(documents, key, text, size, wanted).drop("id", "class").withColumnRenamed("set_id", "id"), "op8-full"
     )
-    small = sets.filter("fits").drop("fits").repartition("component").sortWithinPartitions("component")
+    small = sets.filter("fits").drop("fits", "n_shingles").repartition("component").sortWithinPartitions("component")
     groups = small.mapInPandas(settled, "id long, component long")
-    rest = sets.filter("not fits").select("id", "shingles")
+    rest = sets.filter("not fits").drop("fits")
     if not rest.isEmpty():
-        groups = groups.unionByName(components(large_group_links(rest, leaves, pivot_links), "op8-exact"))
+        groups = groups.unionByName(large_groups(rest, leaves, pivot_links))
     homes = reps.select("id", "class", "doc").join(groups, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
