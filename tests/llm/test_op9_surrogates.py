@@ -55,6 +55,14 @@ def test_types_forms_and_coreference(spark):
     assert [r.text for r in got.filter("doc_id = 5").collect()] == [None]
 
 
+def test_long_secrets_are_replaced_whole(spark):
+    secret, digits = "Zq7_" * 75, "0123456789abcdef" * 8
+    frame = spark.createDataFrame([(1, f"token={secret} end"), (2, f"key {digits}.")], "doc_id long, text string")
+    text = {r.doc_id: r.text for r in replace_entities(frame, "text").collect()}
+    assert re.fullmatch(r"token=(?:[A-Z][a-z]\d_){75} end", text[1]) and "Zq7_" not in text[1]
+    assert re.fullmatch(r"key [0-9a-f]{128}\.", text[2]) and digits[64:] not in text[2]
+
+
 def test_collisions_are_drawn_again(spark):
     parts = spark.createDataFrame([("k", c) for c in "abcdef"] + [("k", "a")], "kind string, norm string")
     # attempt 0 always gives "a", which is found in the texts; later ones give few values

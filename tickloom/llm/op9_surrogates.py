@@ -20,10 +20,10 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # One alternative for each kind. None can be tried again and again over one long run of
 # characters: runs are taken whole, or looked at from their start only.
 PATTERNS = {
-    "secret": _SECRET + r"[^\s\"'<>]{6,128}+",
+    "secret": _SECRET + r"[^\s\"'<>]{6,}+",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "aws_key": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}+(?![0-9A-Za-z])",
+    "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,}+(?![0-9A-Za-z])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "card": r"(?<![\d.])(?:\d{4}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -49,7 +49,7 @@ def kind_of(raw: Column) -> Column:
         F.when(raw.rlike("^" + _SECRET), "secret")
         .when(raw.contains("@"), "email")
         .when(raw.rlike("^AKIA[0-9A-Z]{16}$"), "aws_key")
-        .when(raw.rlike("^[0-9a-f]{32,64}$"), "hex_key")
+        .when(raw.rlike("^[0-9a-f]{32,}$"), "hex_key")
         .when(raw.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(raw.rlike(r"^\p{L}"), "name")
         .when(raw.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ipv4")
