@@ -63,6 +63,21 @@ def test_long_secrets_are_replaced_whole(spark):
     assert re.fullmatch(r"key [0-9a-f]{128}\.", text[2]) and digits[64:] not in text[2]
 
 
+def test_whole_names_and_bare_mentions(spark):
+    rows = [
+        (1, "Dr McDonald met Mrs Smith-Jones, Mr John Ronald Tolkien and Mr O'Brien."),
+        (2, "Mr John Smith came. John Smith left; Smith's dog and Smithy stayed. Mrs GARCÍA said García."),
+        (3, "John Smith is not titled here."),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in replace_entities(frame, "text").collect()}
+    assert re.fullmatch(r"Dr \w+ met Mrs \w+, Mr \w+ \w+ \w+ and Mr \w+\.", text[1])
+    assert not re.search("Mc|Donald|Jones|Smith|John|Ronald|Tolkien|Brien", text[1])
+    got = re.match(r"Mr (\w+) (\w+) came\. \1 \2 left; \2's dog and Smithy stayed\. Mrs \w+ said", text[2])
+    assert got and "John" not in text[2] and "GARC" not in text[2]
+    assert text[3] == rows[2][1]
+
+
 def test_collisions_are_drawn_again(spark):
     parts = spark.createDataFrame([("k", c) for c in "abcdef"] + [("k", "a")], "kind string, norm string")
     # attempt 0 always gives "a", which is found in the texts; later ones give few values

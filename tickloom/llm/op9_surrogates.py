@@ -16,6 +16,8 @@ _SECRET = r"(?i:password|passwd|secret|api[_-]?key|token)\s{0,2}[=:]\s{0,2}[\"']
 _MALE = "Mr|Herr|Señor|Monsieur|Г-н|г-н"
 _FEMALE = "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Г-жа|г-жа"
 _OPEN = "Dr|Prof"
+_TITLE = f"(?:{_MALE}|{_FEMALE}|{_OPEN})\\.? "
+_PART = r"(?:\p{Lu}\.(?= \p{Lu})|\p{Lu}[\p{L}\p{M}]*+(?:['’-](?!s(?![\p{L}\p{M}]))[\p{L}\p{M}]++)*+)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # One alternative for each kind. None can be tried again and again over one long run of
 # characters: runs are taken whole, or looked at from their start only.
@@ -29,7 +31,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d)(?!\.\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_OPEN})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_PART}(?: (?!{_TITLE}){_PART})*+",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -60,7 +62,7 @@ def kind_of(raw: Column) -> Column:
 
 
 def _parts_of_name(raw: Column) -> Column:
-    """A given name, if there are two words, and a surname, each with its kind."""
+    """The given names, if there are more words than one, and a surname, each with its kind."""
     words = F.split(raw, " ")
     gender = (
         F.when(raw.rlike(f"^(?:{_FEMALE})\\.? "), "given_female")
@@ -69,8 +71,34 @@ def _parts_of_name(raw: Column) -> Column:
     )
     script = lambda w: F.when(w.rlike(r"^\p{IsCyrillic}"), "_cyrillic").otherwise("")
     part = lambda kind, w: F.struct(F.concat(kind, script(w)).alias("kind"), F.lower(w).alias("norm"))
-    last = part(F.lit("surname"), F.element_at(words, -1))
-    return F.when(F.size(words) > 2, F.array(part(gender, F.element_at(words, 2)), last)).otherwise(F.array(last))
+    given = F.transform(F.slice(words, F.lit(2), F.size(words) - 2), lambda w: part(gender, w))
+    return F.concat(given, F.array(part(F.lit("surname"), F.element_at(words, -1))))
+
+
+def _bare(raw: Column) -> tuple[Column, Column]:
+    """A titled name without its title, and the surname alone."""
+    return F.regexp_replace(raw, "^[^ ]+ ", ""), F.substring_index(raw, " ", -1)
+
+
+def with_bare_names(ents: Column) -> Column:
+    """A pattern for the entities and for the full names and surnames among them, without titles.
+
+    Longer names come first. Single letters stand for too much, and what may begin a secret or
+    an address is left to those.
+    """
+    names = F.filter(ents, lambda e: kind_of(e) == "name")
+    bare = F.flatten(F.transform(names, lambda e: F.array(*_bare(e))))
+    bare = F.filter(F.array_distinct(bare), lambda n: (F.length(n) > 1) & ~n.rlike("(?i:password|passwd|secret|api[_-]?key|token)$"))
+    longest = F.transform(
+        F.array_sort(F.transform(bare, lambda n: F.struct((-F.length(n)).alias("k"), n.alias("n")))),
+        lambda x: F.concat(F.lit("\\Q"), x["n"], F.lit("\\E")),
+    )
+    whole = F.concat(
+        F.lit(ENTITY + r"|(?<![\p{L}\p{M}\p{N}])(?=\p{Lu})(?:"),
+        F.array_join(longest, "|"),
+        F.lit(r")(?![\p{L}\p{M}\p{N}])(?![\p{L}\p{N}._%+-]*+@)"),
+    )
+    return F.when(F.size(bare) > 0, whole).otherwise(F.lit(ENTITY))
 
 
 def parts_of(raw: Column, kind: Column) -> Column:
@@ -225,11 +253,13 @@ def replace_entities(documents: DataFrame, text: str, key: str = KEY, counted: s
     Equal entities get equal surrogates in all documents, however they are written, and
     different ones different surrogates. A document with entities is written once with the
     entities found in it, and only those documents are joined with their replacements; the
-    others pass through. Null and empty texts stay. ``counted`` names a column to add with
-    the number of entities replaced.
+    others pass through. Names are found after a title, with all capitalised words that follow;
+    the full names and surnames found so are replaced in the same document without a title
+    too, in the letter case found. Other names without a title stay. Null and empty texts stay.
+    ``counted`` names a column to add with the number of entities replaced.
     """
     names = documents.columns
-    row, ents, reps = (fresh(names, n) for n in ("_row", "_ents", "_reps"))
+    row, ents, reps, form = (fresh(names, n) for n in ("_row", "_ents", "_reps", "_form"))
     column = F.col(f"`{text}`")
     has = F.coalesce(column.rlike(ENTITY), F.lit(False))
     found = written(
@@ -248,15 +278,26 @@ def replace_entities(documents: DataFrame, text: str, key: str = KEY, counted: s
     drawn = parts.join(known, ["kind", "norm"]).groupBy("row", "raw", "as").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "sur"))), lambda x: x["sur"]).alias("surs")
     )
-    maps = drawn.select("row", "raw", written_as(F.col("raw"), F.col("as"), F.col("surs")).alias("to")).groupBy("row").agg(
+    to_all = drawn.select("row", "raw", written_as(F.col("raw"), F.col("as"), F.col("surs")).alias("to"))
+    full, last = _bare(F.col("raw"))
+    pair = lambda n, to: F.struct(n.alias("raw"), to.alias("to"))
+    bare = drawn.filter(F.col("as") == "name").select(
+        "row",
+        F.explode(F.array(pair(full, F.array_join("surs", " ")), pair(last, F.element_at("surs", -1)))).alias("x"),
+    ).select("row", "x.raw", "x.to")
+    to_all = to_all.unionByName(bare).groupBy("row", "raw").agg(F.min("to").alias("to"))
+    maps = to_all.groupBy("row").agg(
         F.map_from_entries(F.collect_list(F.struct("raw", "to"))).alias(reps)
     )
-    gaps = F.split(column, ENTITY, -1)
+    gaps = F.split(column, F.col(form), -1)
     changed = F.transform(F.col(ents), lambda e: F.element_at(F.col(reps), e))
     pieces = F.zip_with(gaps, changed, lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
     count = F.size(ents).cast("long")
-    to = fresh([*names, row, ents, reps], "_to")
-    done = found.join(maps.withColumnRenamed("row", to), F.col(row) == F.col(to))
+    to = fresh([*names, row, ents, reps, form], "_to")
+    again = found.withColumn(form, with_bare_names(F.col(ents))).withColumn(
+        ents, F.when(F.col(form) == ENTITY, F.col(ents)).otherwise(F.regexp_extract_all(column, F.col(form), F.lit(0)))
+    )
+    done = again.join(maps.withColumnRenamed("row", to), F.col(row) == F.col(to))
     kept = [F.col(f"`{c}`") if c != text else F.array_join(pieces, "").alias(text) for c in names]
     extra = [count.alias(counted)] if counted else []
     none = [F.lit(0).cast("long").alias(counted)] if counted else []
