@@ -16,6 +16,9 @@ from tickloom.llm.op7_fingerprints import op7_fingerprints
 from tickloom.llm.op8_near_dedup import op8_near_dedup
 from tickloom.llm.op9_surrogates import op9_surrogates
 from tickloom.llm.op10_sentencepiece import op10_sentencepiece
+from tickloom.llm.op11_phrases import op11_phrases
+from tickloom.llm.op12_merkle import op12_merkle
+from tickloom.llm.op13_packing import op13_packing
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -30,6 +33,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_surrogates,
         op10_sentencepiece,
+        op11_phrases,
+        op12_merkle,
+        op13_packing,
     )
 }
 
@@ -82,4 +88,38 @@ reached(x, y) AS (
 homes AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
 FROM numbered JOIN homes ON homes.x = doc_id""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+spans AS (SELECT lang, ws, unnest([1, 2, 3, 4]) AS k FROM w),
+runs AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS p
+  FROM spans WHERE len(ws) >= k),
+f AS (SELECT lang, k, p, count(*) AS a FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+lengths AS (SELECT lang, k, p, a, unnest([2, 3]) AS m FROM c),
+parts AS (
+  SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: p[i:i + m - 1])) AS p
+  FROM lengths WHERE m < k),
+covers AS (SELECT lang, p, max(a) AS most FROM parts GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN covers USING (lang, p)
+  WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT),
+cuts AS (SELECT lang, k, p, a, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+  SELECT cuts.lang, cuts.p, cuts.a, cut, x.a AS l, y.a AS r,
+    2000000::HUGEINT * cuts.a // (x.a + y.a) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.p = cuts.p[1:cut]
+  JOIN f y ON y.lang = cuts.lang AND y.p = cuts.p[cut + 1:]),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS nth FROM scored),
+named AS (SELECT *, array_to_string(p, ' ') AS phrase FROM best WHERE nth = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
