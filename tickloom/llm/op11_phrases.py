@@ -22,7 +22,8 @@ FIRST = 2000  # phrases reported for a language
 SCALE = 2_000_000
 UNKNOWN = "und"
 
-CHUNK_BYTES = 6 << 20  # text whose occurrences a task holds at a time; a longer piece comes whole
+CHUNK_BYTES = 4 << 20  # text whose occurrences a task holds at a time; a longer piece comes whole
+SECTION = 1 << 14  # groups in one row of a relation
 ROW_GROUP = 16 << 20
 GROUP_BITS, COUNTER_BITS = 28, 15  # a group's number in its chunk, a chunk's in its task
 
@@ -69,11 +70,21 @@ def places(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, "<u4").astype(np.int64))
 
 
+def in_sections(at: np.ndarray, group: np.ndarray, values: list[pa.Array]) -> tuple[pa.Array, list[pa.Array], list[pa.Array]]:
+    """The columns of a chunk's rows: ``base``, ``at`` and ``grp`` (in the first row), and lists of the groups' values."""
+    ends = list(range(0, len(values[0]), SECTION)) or [0]
+    cuts = pa.array([*ends, len(values[0])], pa.int32())
+    heads = [[raw, *[None] * (len(ends) - 1)] for raw in (gaps(at), group.astype("<u4").tobytes())]
+    lists = [pa.ListArray.from_arrays(cuts, v) for v in values]
+    return pa.array(ends, pa.int64()), [pa.array(h, pa.binary()) for h in heads], lists
+
+
 def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
     """Occurrences of single words in chunks of one language each, sorted by place.
 
-    A chunk's row has the places of its occurrences (``at``), the number of each one's group
-    (``grp``), and for each group its word and count.
+    A chunk's first row has the places of its occurrences (``at``) and the number of each
+    one's group (``grp``). Its groups' words and counts follow in sections, of which ``base`` is
+    the number of the first group.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,22 +97,17 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
             data, begin, end, at = occurrences(b"\n".join(held.pop(name)))
             size.pop(name)
             _, first, group = distinct(hashes(data, begin, end))
-            words = [data[begin[i] : end[i]].tobytes().decode() for i in first]
+            words = pa.array([data[begin[i] : end[i]].tobytes().decode() for i in first], pa.string())
             number = (task << COUNTER_BITS) | made
             made += 1
             if made >> COUNTER_BITS or len(words) >> GROUP_BITS:
                 raise ValueError("a task has too many chunks or a chunk too many words; use smaller input splits")
+            count = pa.array(np.bincount(group, minlength=len(words)), pa.int64())
+            base, heads, lists = in_sections(at, group, [words, count])
+            same = [pa.array([x] * len(base), t) for x, t in ((number, pa.int64()), (name, pa.string()))]
+            n = pa.array([len(at), *[0] * (len(base) - 1)], pa.int64())
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    pa.array([name]),
-                    pa.array([len(at)], pa.int64()),
-                    pa.array([gaps(at)], pa.binary()),
-                    pa.array([group.astype("<u4").tobytes()], pa.binary()),
-                    pa.array([words], pa.list_(pa.string())),
-                    pa.array([np.bincount(group, minlength=len(words)).tolist()], pa.list_(pa.int64())),
-                ],
-                names=["chunk", "lang", "n", "at", "grp", "word", "count"],
+                [*same, n, base, *heads, *lists], names=["chunk", "lang", "n", "base", "at", "grp", "word", "count"]
             )
 
         for batch in batches:
@@ -114,7 +120,7 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
         for name in list(held):
             yield chunk(name)
 
-    schema = "chunk long, lang string, n long, at binary, grp binary, word array<string>, count array<long>"
+    schema = "chunk long, lang string, n long, base long, at binary, grp binary, word array<string>, count array<long>"
     rows = documents.select(F.col(text).cast("string"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)))
     return rows.mapInArrow(work, schema)
 
@@ -122,6 +128,7 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
 RELATION = pa.schema(
     {
         "chunk": pa.int64(),
+        "base": pa.int64(),
         "at": pa.binary(),
         "grp": pa.binary(),
         "first": pa.list_(pa.int64()),
@@ -149,18 +156,10 @@ def longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     pair = group[next_to] * len(ids) + group[next_to + 1]
     keys, number, count = np.unique(pair, return_inverse=True, return_counts=True)
 
-    def listed(values: np.ndarray) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.int64()))
-
-    columns = [
-        pa.array([relation["chunk"][0].as_py()], pa.int64()),
-        pa.array([gaps(at[next_to])], pa.binary()),
-        pa.array([number.astype("<u4").tobytes()], pa.binary()),
-        listed(ids[keys // len(ids)]),
-        listed(ids[keys % len(ids)]),
-        listed(count),
-    ]
-    return pa.Table.from_arrays(columns, schema=RELATION)
+    keys = [pa.array(ids[keys // len(ids)], pa.int64()), pa.array(ids[keys % len(ids)], pa.int64())]
+    base, heads, lists = in_sections(at[next_to], number, [*keys, pa.array(count, pa.int64())])
+    chunk = pa.array([relation["chunk"][0].as_py()] * len(base), pa.int64())
+    return pa.Table.from_arrays([chunk, base, *heads, *lists], schema=RELATION)
 
 
 def persisted(frame: DataFrame, name: str) -> DataFrame:
@@ -173,8 +172,9 @@ def persisted(frame: DataFrame, name: str) -> DataFrame:
 def grouped(relation: DataFrame, keys: list[str]) -> DataFrame:
     """A row for each group of each chunk: its key, its count there, and where it is."""
     arrays = F.arrays_zip(*[F.col(k) for k in keys if k != "lang"], F.col("count"))
-    rows = relation.select("chunk", *[k for k in keys if k == "lang"], F.posexplode(arrays).alias("grp", "row"))
-    where = F.shiftleft("chunk", GROUP_BITS).bitwiseOR(F.col("grp").cast("long"))
+    lang = [k for k in keys if k == "lang"]
+    rows = relation.select("chunk", "base", *lang, F.posexplode(arrays).alias("grp", "row"))
+    where = F.shiftleft("chunk", GROUP_BITS).bitwiseOR(F.col("base") + F.col("grp"))
     return rows.select(
         *[F.col(k) if k == "lang" else F.col(f"row.{k}").alias(k) for k in keys],
         F.col("row.count").alias("count"),
@@ -206,8 +206,8 @@ def extended(relation: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
         F.col("where").bitwiseAND((1 << GROUP_BITS) - 1).alias("grp"),
         "id",
     )
-    schema = "chunk long, at binary, grp binary, first array<long>, last array<long>, count array<long>"
-    pairs = relation.select("chunk", "at", "grp").groupBy("chunk").cogroup(of_chunk.groupBy("chunk"))
+    schema = "chunk long, base long, at binary, grp binary, first array<long>, last array<long>, count array<long>"
+    pairs = relation.select("chunk", "at", "grp").filter("at is not null").groupBy("chunk").cogroup(of_chunk.groupBy("chunk"))
     return persisted(pairs.applyInArrow(longer, schema), name)
 
 
