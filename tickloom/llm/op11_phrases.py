@@ -23,6 +23,8 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 
 CHUNK_BYTES = 4 << 20  # text whose occurrences a task holds at a time; a longer piece comes whole
+HASHED = 1 << 16  # words hashed together
+READ = 256  # documents taken from Spark's batches together
 SECTION = 1 << 14  # groups in one row of a relation
 ROW_GROUP = 16 << 20
 GROUP_BITS, COUNTER_BITS = 28, 15  # a group's number in its chunk, a chunk's in its task
@@ -45,12 +47,21 @@ def occurrences(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     if inside[0]:
         edge = np.concatenate([[0], edge])
     begin, end = edge[0::2], edge[1::2]
-    piece = np.cumsum(apart)[begin]
+    piece = np.cumsum(apart, dtype=np.int32)[begin]
     new = np.zeros(len(begin), np.int64)
     new[1:] = piece[1:] != piece[:-1]
     return data, begin, end, np.arange(len(begin)) + np.cumsum(new)
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words, made for a part of the bytes at a time."""
+    found = [np.zeros(0, np.uint64)]
+    for i in range(0, len(begin), HASHED):
+        low, first, last = begin[i], begin[i : i + HASHED], end[i : i + HASHED]
+        found.append(hashes(data[low : last[-1]], first - low, last - low))
+    return np.concatenate(found)
+
+
 def parts(text: bytes) -> Iterator[bytes]:
     """A text in stretches of about CHUNK_BYTES that end between pieces."""
     while len(text) > CHUNK_BYTES:
@@ -96,7 +107,7 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
             nonlocal made
             data, begin, end, at = occurrences(b"\n".join(held.pop(name)))
             size.pop(name)
-            _, first, group = distinct(hashes(data, begin, end))
+            _, first, group = distinct(word_hashes(data, begin, end))
             words = pa.array([data[begin[i] : end[i]].tobytes().decode() for i in first], pa.string())
             number = (task << COUNTER_BITS) | made
             made += 1
@@ -110,7 +121,7 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
                 [*same, n, base, *heads, *lists], names=["chunk", "lang", "n", "base", "at", "grp", "word", "count"]
             )
 
-        for batch in batches:
+        for batch in (b.slice(i, READ) for b in batches for i in range(0, b.num_rows, READ)):
             for name, whole in zip(batch.column(1).to_pylist(), encoded(batch.column(0).to_pylist())):
                 for part in parts(whole):
                     held.setdefault(name, []).append(part)
@@ -155,7 +166,6 @@ def longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
     pair = group[next_to] * len(ids) + group[next_to + 1]
     keys, number, count = np.unique(pair, return_inverse=True, return_counts=True)
-
     keys = [pa.array(ids[keys // len(ids)], pa.int64()), pa.array(ids[keys % len(ids)], pa.int64())]
     base, heads, lists = in_sections(at[next_to], number, [*keys, pa.array(count, pa.int64())])
     chunk = pa.array([relation["chunk"][0].as_py()] * len(base), pa.int64())
