@@ -8,6 +8,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tickloom.llm.op3_mixing import balance, mix_copies, op3_mixing, rounded_sizes, targets
 
@@ -47,6 +49,30 @@ def test_rounding_ends_near():
         assert copies.max() <= 2 and abs(copies @ sizes - share * sizes.sum()) <= sizes[-20:].max()
 
 
+def test_few_documents_come_near_their_target():
+    sizes = np.array([2770, 640, 520, 300, 268, 150, 90, 60, 34])  # one has half of the words
+    for share in (0.2, 0.482, 0.7, 1.1, 1.9):
+        asked = share * sizes.sum()
+        copies = rounded_sizes(sizes, np.full(len(sizes), share))
+        assert copies.min() >= 0 and copies.max() <= 2
+        assert abs(copies @ sizes - asked) <= 0.02 * asked
+        off = copies @ sizes - asked
+        for i, size in enumerate(sizes.tolist()):  # no single copy would bring it nearer
+            assert copies[i] == 2 or abs(off + size) >= abs(off) - 1e-6 or abs(off) <= 0.5
+            assert copies[i] == 0 or abs(off - size) >= abs(off) - 1e-6 or abs(off) <= 0.5
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3000), min_size=1, max_size=12), st.floats(0, 2))
+def test_rounding_never_ends_farther_than_half_of_the_smallest_move(numbers, share):
+    sizes = np.array(sorted(numbers, reverse=True))
+    copies = rounded_sizes(sizes, np.full(len(sizes), share))
+    off = copies @ sizes - share * sizes.sum()
+    moves = sizes[((copies < 2) if off < 0 else (copies > 0)) & (sizes > 0)]
+    assert copies.min() >= 0 and copies.max() <= 2
+    assert not len(moves) or abs(off) <= max(0.5, moves.min() / 2) + 1e-6
+
+
 def test_nulls_ties_zero_sizes_and_empty(spark):
     rows = [(None, None, 3), (1, "a", 0), (2, "a", 5), (2, "a", 5), (3, None, 2)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, size long")

@@ -128,12 +128,13 @@ def rate(columns: list[str], lam: dict[str, dict[Value, float]], most: float):
     return F.when(total == -math.inf, 0.0).otherwise(most / (1 + F.exp(-total)))
 
 
-def rounded_sizes(sizes: np.ndarray, rates: np.ndarray) -> np.ndarray:
+def rounded_sizes(sizes: np.ndarray, rates: np.ndarray, most: int = MOST_COPIES) -> np.ndarray:
     """Whole copies near the rates, for sizes in falling order.
 
     Each document gets the whole number next below or above its rate, whichever brings the
-    tokens so far nearer to what the rates ask. Small documents come last, so what is left
-    over at the end is about half of a small document.
+    tokens so far nearer to what the rates ask. Then ``settled`` gives or takes single copies
+    while that brings the sum nearer. At the end no single copy, given or taken, does: what is
+    off is at most half of the smallest size that can still be given or taken in its direction.
     """
     copies, off = np.floor(rates).astype(np.int64), 0.0
     for i, (size, part) in enumerate(zip(sizes.tolist(), (rates - copies).tolist(), strict=True)):
@@ -141,6 +142,41 @@ def rounded_sizes(sizes: np.ndarray, rates: np.ndarray) -> np.ndarray:
         if part > 0 and abs(off + size) < abs(off):
             copies[i] += 1
             off += size
+    return settled(sizes, copies, off, most)
+
+
+def settled(sizes: np.ndarray, copies: np.ndarray, off: float, most: int) -> np.ndarray:
+    """Copies after the moves that bring ``off``, what they have too much, nearest to 0.
+
+    A move gives or takes one copy, or does both for two documents. Each is the best one of
+    its kind, the first of equals, and single copies are preferred; each brings ``off`` nearer.
+    """
+    while abs(off) > 0.5:
+        sign = 1 if off < 0 else -1
+        free = (copies < most if sign > 0 else copies > 0) & (sizes > 0)
+        back = (copies > 0 if sign > 0 else copies < most) & (sizes > 0)
+        one, other = np.flatnonzero(free), np.flatnonzero(back)
+        if not len(one):
+            break
+        left = np.abs(off + sign * sizes[one])
+        i = int(left.argmin())
+        if left[i] < abs(off) - 1e-9:
+            copies[one[i]] += sign
+            off += sign * float(sizes[one[i]])
+            continue
+        # two documents whose sizes differ by about what is off; sizes fall, so -sizes rises
+        want = sizes[one] - abs(off)
+        at = np.clip(np.searchsorted(-sizes[other], -want), 0, max(len(other) - 1, 0)) if len(other) else None
+        if at is None:
+            break
+        tries = [(abs(off + sign * (sizes[one] - sizes[other[a]])), a) for a in (at, np.maximum(at - 1, 0))]
+        left, a = min(tries, key=lambda t: t[0].min())
+        i = int(left.argmin())
+        if left[i] >= abs(off) - 1e-9:
+            break
+        copies[one[i]] += sign
+        copies[other[a[i]]] -= sign
+        off += sign * float(sizes[one[i]] - sizes[other[a[i]]])
     return copies
 
 
@@ -149,8 +185,8 @@ def mix_copies(documents: DataFrame, key: str, source: str, size: str, wanted: d
 
     Rates come from ``balance`` over the one column ``source``, so all documents of a source
     have the same rate. They are rounded in blocks of about BLOCK_ROWS documents of a source,
-    cut by a hash, so that a source of any size is spread over many tasks; all blocks of all
-    sources together come within a small document's size for each block of the targets.
+    cut by a hash, so that a source of any size is spread over many tasks; each block comes as
+    near to its part of the target as single copies, and exchanges of two, can bring it.
     Documents of size 0 get the rate's whole part. ``key`` settles ties in size; rows that are
     equal in key and size may swap their copies. Null sources are a source of their own.
     """
@@ -166,7 +202,7 @@ def mix_copies(documents: DataFrame, key: str, source: str, size: str, wanted: d
 
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([size, key], ascending=[False, True], kind="stable")
-        frame[name] = rounded_sizes(frame[size].to_numpy(), frame["_rate"].to_numpy())
+        frame[name] = rounded_sizes(frame[size].to_numpy(), frame["_rate"].to_numpy(), most)
         return frame[[*columns, name]]
 
     return (
