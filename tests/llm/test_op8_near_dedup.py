@@ -8,8 +8,11 @@ import re
 import numpy as np
 import pytest
 
+from tickloom.llm import common
+from tickloom.llm import components as parts
 from tickloom.llm import op8_near_dedup as op
 from tickloom.llm.components import components
+from tickloom.session import written
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -117,6 +120,30 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     assert result(spark, rows, 2) == want
 
 
+def test_near_copies_take_few_rounds_and_tables(spark, monkeypatch):
+    for name, value in {"LEAF": 32, "GROUP_SETS": 64, "BLOCK_SETS": 64}.items():
+        monkeypatch.setattr(op, name, value)
+    names = []
+
+    def counted(frame, name):
+        names.append(name)
+        return written(frame, name)
+
+    for module in (op, common, parts):
+        monkeypatch.setattr(module, "written", counted)
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    base, rows = rng.choices(vocabulary, k=60), []
+    for i in range(900):
+        near = list(base) if i % 3 else rng.choices(vocabulary, k=60)
+        for _ in range(2):
+            near[rng.randrange(60)] = rng.choice(vocabulary)
+        rows.append((i, " ".join(near)))
+    got, want = result(spark, rows, 2), brute(rows, 2)
+    assert got == want
+    assert sum(n.startswith("op8-large") for n in names) <= 3 and len(names) <= 40
+
+
 @pytest.mark.parametrize("size", [1, 2, 5])
 def test_shingle_sets(size):
     texts = ["", "a", "a b", "a b c d e f", "A B a b A b", "x " * 50]

@@ -190,7 +190,7 @@ def plant(reps: DataFrame) -> DataFrame:
 
 
 def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sets of large nodes against their pivots: links to it, and the child nodes of all but tight ones.
+    """Sets of large nodes against their pivots: links to it, and the children that all but tight ones go to.
 
     A set that agrees with one left to the pivot in LOOSE coordinates agrees with the pivot in
     LOOSE + TIGHT - COORDINATES of them at least, whatever their sizes are; so these are linked.
@@ -206,7 +206,8 @@ def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         child = next_node(frame["node"].to_numpy(), _stacked(frame["values"], "<u4"))
         yield pd.DataFrame(
             {
-                "node": child,
+                "node": frame["node"],
+                "child": child,
                 "id": frame["id"].to_numpy(),
                 "pivot": frame["pivot"].to_numpy(),
                 "linked": (agree >= LOOSE + TIGHT - COORDINATES) & ~own,
@@ -215,14 +216,29 @@ def branch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def tiled(made: DataFrame, rest: DataFrame) -> DataFrame:
+    """Leaves (``node``, ``id``) of large nodes of which all but a leaf's worth of sets are linked to the pivot.
+
+    Linked sets are in one component already. They are dealt to tiles of about LEAF, and the
+    others, ``rest``, stand in every tile, so these meet all sets of the node and the work
+    grows with the node's size, not with its square.
+    """
+    number = F.pmod(F.xxhash64("id", "node"), F.col("tiles"))
+    near = made.filter("linked or id = pivot").join(rest, "node").select("node", number.alias("tile"), "id")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    far = made.filter("not linked and id <> pivot").join(rest, "node").select("node", every.alias("tile"), "id")
+    return near.unionByName(far).select(F.xxhash64("node", "tile").alias("node"), "id")
+
+
 def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Grows the trees: leaves (``node``, ``id``), links of leaves, and links to pivots.
 
     A node draws a coordinate and parts its sets by their minwise value there. Nodes of up to
-    LEAF sets are leaves. A larger node first compares all its sets with one pivot, drawn by a
-    hash; sets that are all but equal to it (TIGHT) go no further in this node, since whatever
-    is similar to them is linked to the pivot too, loosely. So nodes shrink even if all their
-    sets are alike, and no task ever holds a large node.
+    LEAF sets are leaves. A larger node first compares all its sets with one pivot, its least
+    id, which other trees often have too. If no more than LEAF sets are not linked to it,
+    loosely, the node ends in tiles. Otherwise its sets go on to its children, but for those
+    all but equal to the pivot (TIGHT), since whatever is similar to them is linked to the
+    pivot too. So a node of near copies ends in one round, and no task ever holds a large node.
     """
     spark = reps.sparkSession
     front = written(plant(reps), "op8-front")
@@ -230,9 +246,8 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pivots: list[DataFrame] = []
     level = 0
     while True:
-        counts = front.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "node"), "id")).alias("p"))
-        several = counts.filter("n > 1").select("node", "n", F.col("p.id").alias("pivot"))
-        placed = written(front.join(several, "node"), f"op8-nodes{level}")
+        counts = front.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot"))
+        placed = written(front.join(counts.filter("n > 1"), "node"), f"op8-nodes{level}")
         leaves.append(placed.filter(F.col("n") <= LEAF).select("node", "id"))
         large = placed.filter(F.col("n") > LEAF)
         if large.isEmpty():
@@ -244,10 +259,17 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         chosen = large.select("node", "pivot").distinct().join(pivot, "pivot")
         rows = large.select("node", "id").join(sets, "id").join(chosen, "node")
         made = written(
-            rows.mapInPandas(branch, "node long, id long, pivot long, linked boolean, stays boolean"), f"op8-large{level}"
+            rows.mapInPandas(branch, "node long, child long, id long, pivot long, linked boolean, stays boolean"),
+            f"op8-large{level}",
         )
         pivots.append(made.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-        front = made.filter("stays").select("node", "id")
+        far = F.count(F.when(~F.col("linked") & (F.col("id") != F.col("pivot")), 1))
+        sized = made.groupBy("node").agg(far.alias("far"), F.count(F.lit(1)).alias("n"))
+        tiles = F.ceil((F.col("n") - F.col("far")) / LEAF).alias("tiles")
+        sized = written(sized.select("node", tiles, (F.col("far") <= LEAF).alias("ends")), f"op8-ends{level}")
+        leaves.append(tiled(made, sized.filter("ends").select("node", "tiles")))
+        on = made.filter("stays").join(sized.filter("not ends").select("node"), "node")
+        front = on.select(F.col("child").alias("node"), "id")
         level += 1
     found = leaves[0]
     for more in leaves[1:]:
@@ -258,7 +280,7 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     to_pivots = spark.createDataFrame([], "a long, b long")
     for more in pivots:
         to_pivots = to_pivots.unionByName(more)
-    return found, written(links.distinct(), "op8-leaf-links"), to_pivots.distinct()
+    return found, written(links.distinct(), "op8-leaf-links"), written(to_pivots.distinct(), "op8-pivot-links")
 
 
 def confirmed(ids: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
