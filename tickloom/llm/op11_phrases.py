@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.llm.common import table
+from tickloom.llm.files import opened
 from tickloom.llm.words import distinct, encoded, hashes
 from tickloom.session import scratch
 
@@ -193,7 +194,8 @@ def grouped(relation: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def frequent_groups(relation: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """The rows of ``grouped`` whose group has ``least`` occurrences in all, with them (``f``) and its ``id``.
+    """The places (``where``) of groups that have ``least`` occurrences in all, with their ``id``;
+    a group's first row also has its key and its occurrences (``f``).
 
     Groups are counted, and the rows semi-joined with the frequent ones, in one exchange by
     key. A frequent group has one row for each chunk, so no key has more rows than chunks.
@@ -201,7 +203,9 @@ def frequent_groups(relation: DataFrame, keys: list[str], least: int, name: str)
     """
     rows = grouped(relation, keys).repartition(*keys)
     counts = rows.groupBy(*keys).agg(F.sum("count").alias("f"), F.min("where").alias("id")).filter(F.col("f") >= least)
-    return persisted(rows.drop("count").join(counts, keys), name)
+    found = rows.drop("count").join(counts, keys)
+    own = F.col("where") == F.col("id")  # only the first row of a group needs to say what it is
+    return persisted(found.select("where", "id", *[F.when(own, F.col(c)).alias(c) for c in (*keys, "f")]), name)
 
 
 def of_groups(frequent: DataFrame) -> DataFrame:
@@ -209,6 +213,14 @@ def of_groups(frequent: DataFrame) -> DataFrame:
     return frequent.filter(F.col("where") == F.col("id")).drop("where")
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more; what came of them is written too."""
+    for table_ in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table_.inputFiles()}:
+            store, path = opened(folder)
+            store.delete_dir(path)
+
+
 def extended(relation: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
     """The relation of occurrences one word longer."""
     of_chunk = frequent.select(
@@ -260,16 +272,19 @@ def wide(count: Column) -> Column:
 def candidates(documents: DataFrame, text: str, lang: str, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """All phrases of 2 to ``longest`` words with ``least`` occurrences, and ``n`` words of each language."""
     relation = persisted(first_relation(documents, text, lang), "op11-words")
-    totals = relation.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = persisted(relation.groupBy("lang").agg(F.sum("n").alias("n")), "op11-totals")
     frequent = frequent_groups(relation, ["lang", "word"], least, "op11-frequent1")
     none = F.array().cast("array<long>")
     inner = F.array().cast("array<struct<words:int,id:bigint>>")
-    last = of_groups(frequent).select(
+    words_ = of_groups(frequent).select(
         "id", "lang", "f", F.col("word").alias("phrase"), none.alias("heads"), none.alias("tails"), inner.alias("inner")
     )
+    last = persisted(words_, "op11-phrases1")
     found = []
     for words in range(2, longest + 1):
+        before = (relation, frequent)
         relation = extended(relation, frequent, f"op11-relation{words}")
+        discarded(*before)
         if words < longest:
             frequent = frequent_groups(relation, ["first", "last"], least, f"op11-frequent{words}")
             groups = of_groups(frequent)
@@ -279,6 +294,7 @@ def candidates(documents: DataFrame, text: str, lang: str, longest: int, least:
             groups = groups.filter(F.col("f") >= least)
         last = persisted(described(groups, last, words).withColumn("words", F.lit(words)), f"op11-phrases{words}")
         found.append(last)
+    discarded(relation)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

@@ -22,6 +22,7 @@ COORDINATES = 128
 LEAF = 1024  # nodes up to this many sets are compared exhaustively
 FIRST, FIRST_LOOSE = 32, 14  # coordinates looked at first, and how many must agree: at 0.8, 5 deviations below
 LOOSE = 82  # agreeing coordinates, of 128, of a pair that goes on to the exact test: at 0.8, 4.5 deviations below
+SALTS = 64  # places in which a large node meets its pivot
 TIGHT = 116  # agreeing coordinates that let a large node leave a set to its pivot
 GROUP_SETS, GROUP_SHINGLES = 4096, 4_000_000  # a group within both is settled by one task
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000  # of larger groups, a task compares two blocks of about so much
@@ -256,8 +257,11 @@ def chosen_paths(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         pivot = reps.select(
             F.col("id").alias("pivot"), F.col("n_shingles").alias("pivot_n"), F.col("sketch").alias("pivot_sketch")
         )
-        chosen = large.select("node", "pivot").distinct().join(pivot, "pivot")
-        rows = large.select("node", "id").join(sets, "id").join(chosen, "node")
+        # a node's sets meet its pivot in several places, so that a node of any size is spread
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        chosen = large.select("node", "pivot").distinct().join(pivot, "pivot").select("*", salts)
+        salted = large.select("node", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+        rows = salted.join(sets, "id").join(chosen, ["node", "salt"]).drop("salt")
         made = written(
             rows.mapInPandas(branch, "node long, child long, id long, pivot long, linked boolean, stays boolean"),
             f"op8-large{level}",
