@@ -250,3 +250,25 @@ def test_analytics_run_end_to_end_and_twice(spark):
     removed = analytics_run.run(spark, settings, later)
     assert (removed["metrics"], removed["candles"], removed["alerts"]) == (3, 21, 2)
     assert analytics_run.known_tables(spark, settings)["gainers"].count() == 2
+
+
+def test_analytics_run_published_together(spark):
+    root = scratch(spark, "tables")
+    settings = Settings(lake=scratch(spark, "lake"), tables=root, top_k=2, publish_together=1)
+    series = [ticks(spark, [10.0] * 6 + [last], key).drop("seq") for key, last in (("a", 30.0), ("b", 5.0), ("c", 10.0))]
+    tables.append(series[0].unionByName(series[1]).unionByName(series[2]), settings.lake, "timestamp")
+    for _ in range(2):
+        analytics_run.run(spark, settings, at(8.5))
+    found = analytics_run.published_tables(spark, settings)
+    assert rows_of(found["metrics"].orderBy("id"), "id", "change_5min") == [("a", 200.0), ("b", -50.0), ("c", 0.0)]
+    assert found["candles"].count() == 21
+    assert rows_of(found["gainers"].orderBy("rank"), "id") == [("a",), ("c",)]
+    assert sorted(rows_of(found["alerts"], "coin_id", "alert_type")) == [("a", "PUMP"), ("b", "DUMP")]
+    kept = analytics_run.known_tables(spark, settings)["latest"]
+    assert rows_of(kept.orderBy("id"), "id", "price") == [("a", 30.0), ("b", 5.0), ("c", 10.0)]
+
+    # past retention: the dates and the keys go, the rankings stay
+    removed = analytics_run.run(spark, settings, at(9 * DAY))
+    found = analytics_run.published_tables(spark, settings)
+    assert removed["latest"] == 3 and found["metrics"].isEmpty() and found["candles"].isEmpty()
+    assert found["gainers"].count() == 2

@@ -323,15 +323,21 @@ def market_snapshot(
     run_order: Sequence[str] = ("created_at",),
     policy: SplitPolicy = DEFAULT_POLICY,
     minutes: int = SNAPSHOT_MINUTES,
+    kept: DataFrame | None = None,
 ) -> Mapping[str, DataFrame]:
-    """The four parts of the periodic snapshot."""
+    """The four parts of the periodic snapshot.
+
+    With ``kept``, the maintained table of latest rows, no part reads more of the metrics than
+    the last ``minutes``.
+    """
     shown = ["id", "symbol", "timestamp", "price", "change_5min"]
-    latest = latest_per_key(metrics, order=order).select(
+    newest_rows = metrics if kept is None else kept
+    latest = latest_per_key(newest_rows, order=order).select(
         "id", "symbol", "timestamp", "price", "change_1min", "change_5min"
     )
     odd = anomalous(recent(metrics, as_of, minutes).select(*shown), STRONG, policy)
     return {
-        "stats": _tracked(metrics),
+        "stats": _tracked(newest_rows),
         "latest": latest.orderBy("id").limit(SNAPSHOT_KEYS),
         "anomalies": newest(odd, SNAPSHOT_ANOMALIES, ["timestamp", "id"]).select(*shown),
         "runs": run_latest(run_metrics, run_order),

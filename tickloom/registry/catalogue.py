@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom import schemas
 from tickloom.functions.clock import bucket, recent
@@ -32,7 +33,8 @@ from tickloom.plans import served
 from tickloom.registry import views as v
 from tickloom.registry.views import AS_OF, ALL_MINUTES, USER_ORDER, WEEK_MINUTES, rounded, using
 from tickloom.session import scratch, written
-from tickloom.sinks import tables
+from tickloom.sinks import publish, tables
+from tickloom.sinks.latest import expire_latest, merge_latest, read_latest
 from tickloom.sources import lake, messages
 from tickloom.streaming import ingest
 
@@ -1013,3 +1015,125 @@ def retention(spark, sf_dir):
     tables.append(v.metrics_user(spark, sf_dir).drop("seq"), path, "timestamp")
     removed = tables.retain(spark, path, schemas.METRICS, "timestamp", _RETAIN_AT, 7)
     return _metrics_back(spark, path).withColumn("removed", F.lit(removed).cast("long"))
+
+
+# --- the maintained table of latest rows ----------------------------------------
+
+_LATEST_SCHEMA = T.StructType([*schemas.METRICS.fields, T.StructField("seq", T.LongType())])
+
+
+def _latest_table(spark, sf_dir):
+    """Merged from three runs, the newest first, so that two come late; one of them runs twice."""
+    path = scratch(spark, "latest")
+    rows = v.metrics_user(spark, sf_dir)
+    third = F.pmod(F.xxhash64("id", "timestamp"), F.lit(3))
+    parts = [rows.filter(F.col("timestamp") >= F.lit(_INCOMING_FROM))]
+    parts += [rows.filter((F.col("timestamp") < F.lit(_STORED_UNTIL)) & part) for part in (third > 0, third == 0)]
+    for part in [*parts, parts[1]]:
+        merge_latest(part, path, _LATEST_SCHEMA, USER_ORDER)
+    return path, read_latest(spark, path, _LATEST_SCHEMA)
+
+
+@query(f'{using("metrics_user")}, {_LATEST} SELECT {_METRICS_OUT} FROM latest')
+def latest_table_prices(spark, sf_dir):
+    """The latest prices, from the maintained table and without a look at the history."""
+    rows = served.latest_prices(_latest_table(spark, sf_dir)[1], USER_ORDER)
+    return _shown(rows, *schemas.METRIC_COLUMNS)
+
+
+@query(f'{using("metrics_user")} SELECT DISTINCT id, symbol FROM metrics_user')
+def latest_table_coins(spark, sf_dir):
+    return served.coin_list(_latest_table(spark, sf_dir)[1])
+
+
+@query(ORACLES["stats"])
+def latest_table_stats(spark, sf_dir):
+    return served.stats(
+        _latest_table(spark, sf_dir)[1],
+        _hourly(spark, sf_dir),
+        _alert_history(spark, sf_dir),
+        v.run_metrics(spark, sf_dir),
+    )
+
+
+@query(ORACLES["market_snapshot"])
+def latest_table_snapshot(spark, sf_dir):
+    return served.market_snapshot(
+        v.metrics_user(spark, sf_dir),
+        v.run_metrics(spark, sf_dir),
+        AS_OF,
+        USER_ORDER,
+        _RUN_ORDER,
+        minutes=ALL_MINUTES,
+        kept=_latest_table(spark, sf_dir)[1],
+    )["latest"]
+
+
+@query(f"""{using("metrics_user")}, {_LATEST}
+  SELECT {_METRICS_OUT}, (SELECT count(*) FROM latest WHERE "timestamp" < {_KEPT_FROM}) AS removed
+  FROM latest WHERE "timestamp" >= {_KEPT_FROM}""")
+def latest_table_retention(spark, sf_dir):
+    """Keys whose newest row is past retention leave the table."""
+    path, _ = _latest_table(spark, sf_dir)
+    removed = expire_latest(spark, path, _LATEST_SCHEMA, "timestamp", _RETAIN_AT, 7)
+    rows = _shown(read_latest(spark, path, _LATEST_SCHEMA), *schemas.METRIC_COLUMNS)
+    return rows.withColumn("removed", F.lit(removed).cast("long"))
+
+
+# --- results published together --------------------------------------------------
+
+
+def _published(spark, sf_dir, name, kept, change, folded=False):
+    """Two runs, the second with changed rows and published twice; a third that dies before its manifest."""
+    root = scratch(spark, "published")
+    rows = v.metrics_user(spark, sf_dir).drop("seq") if kept.schema == schemas.METRICS else _hourly(spark, sf_dir)
+    stored, incoming = _halves(rows)
+    publish.publish(spark, root, "run-1", {name: (stored, kept)})
+    for _ in range(2):
+        publish.publish(spark, root, "run-2", {name: (incoming.withColumns(change), kept)})
+    lost = F.raise_error(F.lit("lost")).cast("double")
+    column = next(iter(change))
+    try:
+        broken = stored.withColumn(column, lost.cast(kept.schema[column].dataType))
+        publish.publish(spark, root, "run-3", {name: (incoming, kept), f"{name}-2": (broken, kept)})
+    except Exception as failure:
+        if "lost" not in str(failure):
+            raise
+    if folded:
+        publish.fold(spark, root, {name: kept}, most=1)
+    return publish.read_published(spark, root, name, kept)
+
+
+def _changed():
+    return {
+        "symbol": F.concat("symbol", F.lit("*")),
+        "price": F.col("price") + 1,
+        "change_5min": F.lit(None).cast("double"),
+    }
+
+
+@query(f"""{using("metrics_user")}, halves AS (
+  SELECT "timestamp", id, CASE WHEN {_OLD} THEN symbol ELSE symbol || '*' END AS symbol,
+         CASE WHEN {_NEW} THEN price + 1 ELSE price END AS price, change_1min,
+         CASE WHEN {_NEW} THEN NULL ELSE change_5min END AS change_5min, sma, ema, volatility
+  FROM metrics_user)
+  SELECT {_METRICS_OUT} FROM halves""")
+def publish_upsert(spark, sf_dir):
+    """Read from deltas: the newest run's values, nulls too, and the first run's symbol."""
+    kept = publish.Published(schemas.METRICS, publish.UPSERT, keep=("symbol",))
+    return _shown(_published(spark, sf_dir, "metrics", kept, _changed()), *schemas.METRIC_COLUMNS)
+
+
+@query(ORACLES["publish_upsert"])
+def publish_folded(spark, sf_dir):
+    """The same rows after the deltas were folded into one."""
+    kept = publish.Published(schemas.METRICS, publish.UPSERT, keep=("symbol",))
+    return _shown(_published(spark, sf_dir, "metrics", kept, _changed(), folded=True), *schemas.METRIC_COLUMNS)
+
+
+@query(ORACLES["sink_insert_ignore"])
+def publish_insert(spark, sf_dir):
+    """Candles of the first run stay as they are."""
+    kept = publish.Published(schemas.CANDLES, publish.INSERT)
+    rows = _published(spark, sf_dir, "candles", kept, {"open": F.col("open") + 1})
+    return rows.select(*schemas.CANDLE_COLUMNS)

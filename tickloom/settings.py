@@ -20,6 +20,7 @@ class Settings:
     retention_days: int = 7
     alert_threshold_pct: float = 2.0
     expected_records: int = 20
+    publish_together: int = 0  # 1: the five results of a run become visible in one switch
     object_store_endpoint: str = ""
     object_store_key: str = ""
     object_store_secret: str = ""

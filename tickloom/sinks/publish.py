@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,6 +188,22 @@ def fold(
     return done
 
 
+def expire(spark: SparkSession, root: str, tables: Mapping[str, Published], as_of: datetime, days: int) -> None:
+    """Drop the dates before the bound from all deltas, as whole folders.
+
+    Rows of the date that holds the bound stay until it has passed; rows without a time stay.
+    """
+    edge = (as_of - timedelta(days=days)).date().isoformat()
+    for name, folders in current(spark, root).items():
+        if name not in tables or tables[name].time is None:
+            continue
+        for folder in folders:
+            path = f"{root}/{name}/{folder}"
+            for value in partition_values(spark, path, DATE_PARTITION):
+                if value < edge:
+                    drop_folder(spark, f"{path}/{DATE_PARTITION}={value}")
+
+
 def _sweep(spark: SparkSession, root: str, drop: Callable[[SparkSession, str], None]) -> None:
     """Drop manifests before the last two, and the folders that only they name."""
     versions = _versions(spark, root)

@@ -23,13 +23,15 @@ def start_market_snapshots(
 ) -> StreamingQuery:
     """Give each snapshot part to ``publish`` with its name and the batch number.
 
-    ``tables`` is asked for the metrics and run metrics anew at each batch. A batch
-    may be published again after a failure, under the same number.
+    ``tables`` is asked for the metrics and run metrics anew at each batch, and for the table
+    of latest rows (``latest``), without which each batch reads all metrics. A batch may be published again after a failure, under the same number.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         served = tables()
-        parts = market_snapshot(served["metrics"], served["run_metrics"], utc_now())
+        parts = market_snapshot(
+            served["metrics"], served["run_metrics"], utc_now(), kept=served.get("latest")
+        )
         for name, frame in parts.items():
             publish(name, frame, number)
 
