@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tickloom.llm.common import table
 from tickloom.llm.files import opened
-from tickloom.llm.words import distinct, encoded, hashes
+from tickloom.llm.words import distinct, encoded, hashes, mixed, spread
 from tickloom.session import scratch
 
 LONGEST = 4
@@ -26,7 +27,8 @@ UNKNOWN = "und"
 CHUNK_BYTES = 4 << 20  # text whose occurrences a task holds at a time; a longer piece comes whole
 HASHED = 1 << 16  # words hashed together
 READ = 256  # documents taken from Spark's batches together
-SECTION = 1 << 14  # groups in one row of a relation
+SECTION = 1 << 14  # groups of words in one row of a relation
+BUCKET_WORDS = 1 << 20  # words of the corpus for each bucket that longer groups are counted in
 ROW_GROUP = 16 << 20
 GROUP_BITS, COUNTER_BITS = 28, 15  # a group's number in its chunk, a chunk's in its task
 
@@ -82,13 +84,15 @@ def places(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, "<u4").astype(np.int64))
 
 
-def in_sections(at: np.ndarray, group: np.ndarray, values: list[pa.Array]) -> tuple[pa.Array, list[pa.Array], list[pa.Array]]:
+def in_sections(
+    at: np.ndarray, group: np.ndarray, values: list[pa.Array], begins: list[int]
+) -> tuple[pa.Array, list[pa.Array], list[pa.Array]]:
     """The columns of a chunk's rows: ``base``, ``at`` and ``grp`` (in the first row), and lists of the groups' values."""
-    ends = list(range(0, len(values[0]), SECTION)) or [0]
-    cuts = pa.array([*ends, len(values[0])], pa.int32())
-    heads = [[raw, *[None] * (len(ends) - 1)] for raw in (gaps(at), group.astype("<u4").tobytes())]
+    begins = begins or [0]
+    cuts = pa.array([*begins, len(values[0])], pa.int32())
+    heads = [[raw, *[None] * (len(begins) - 1)] for raw in (gaps(at), group.astype("<u4").tobytes())]
     lists = [pa.ListArray.from_arrays(cuts, v) for v in values]
-    return pa.array(ends, pa.int64()), [pa.array(h, pa.binary()) for h in heads], lists
+    return pa.array(begins, pa.int64()), [pa.array(h, pa.binary()) for h in heads], lists
 
 
 def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
@@ -115,7 +119,7 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
             if made >> COUNTER_BITS or len(words) >> GROUP_BITS:
                 raise ValueError("a task has too many chunks or a chunk too many words; use smaller input splits")
             count = pa.array(np.bincount(group, minlength=len(words)), pa.int64())
-            base, heads, lists = in_sections(at, group, [words, count])
+            base, heads, lists = in_sections(at, group, [words, count], list(range(0, len(words), SECTION)))
             same = [pa.array([x] * len(base), t) for x, t in ((number, pa.int64()), (name, pa.string()))]
             n = pa.array([len(at), *[0] * (len(base) - 1)], pa.int64())
             return pa.RecordBatch.from_arrays(
@@ -137,40 +141,96 @@ def first_relation(documents: DataFrame, text: str, lang: str) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
+LONGS = pa.list_(pa.int64())
 RELATION = pa.schema(
     {
         "chunk": pa.int64(),
+        "bucket": pa.int64(),
         "base": pa.int64(),
         "at": pa.binary(),
         "grp": pa.binary(),
-        "first": pa.list_(pa.int64()),
-        "last": pa.list_(pa.int64()),
-        "count": pa.list_(pa.int64()),
+        "first": LONGS,
+        "last": LONGS,
+        "count": pa.list_(pa.int32()),
     }
 )
+RELATION_COLUMNS = (
+    "chunk long, bucket long, base long, at binary, grp binary, first array<long>, last array<long>, count array<int>"
+)
+
 
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    """Values of a column, or of all its lists end to end."""
+    if pa.types.is_list(column.type):
+        column = pa.chunked_array([c.flatten() for c in column.chunks], column.type.value_type)
+    return column.to_numpy()
 
-def longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+
+def longer(relation: pa.Table, frequent: pa.Table, buckets: int) -> pa.Table:
     """Occurrences one word longer, of one chunk.
 
     The chunk's relation keeps the occurrences of its frequent groups; it and itself are merged
-    where the places are adjacent, so both the first and the last words are frequent.
+    where the places are adjacent, so both the first and the last words are frequent. The new
+    groups are sorted by bucket, a function of their parts, and by their parts.
     """
     if not relation.num_rows or not frequent.num_rows:
         return RELATION.empty_table()
     at = places(relation["at"][0].as_py())
     group = np.frombuffer(relation["grp"][0].as_py(), "<u4").astype(np.int64)
     ids = np.full(int(group.max()) + 1, -1, np.int64)
-    ids[frequent["grp"].to_numpy()] = frequent["id"].to_numpy()
+    ids[flat(frequent["grp"])] = flat(frequent["id"])
     kept = ids[group] >= 0
     at, group = at[kept], group[kept]
     next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
     pair = group[next_to] * len(ids) + group[next_to + 1]
     keys, number, count = np.unique(pair, return_inverse=True, return_counts=True)
-    keys = [pa.array(ids[keys // len(ids)], pa.int64()), pa.array(ids[keys % len(ids)], pa.int64())]
-    base, heads, lists = in_sections(at[next_to], number, [*keys, pa.array(count, pa.int64())])
+    first, last = ids[keys // len(ids)], ids[keys % len(ids)]
+    bucket = (mixed(mixed(first.view(np.uint64)) + last.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((last, first, bucket))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    bucket = bucket[order]
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    values = [pa.array(first[order], pa.int64()), pa.array(last[order], pa.int64()), pa.array(count[order], pa.int32())]
+    base, heads, lists = in_sections(at[next_to], rank[number], values, begins)
     chunk = pa.array([relation["chunk"][0].as_py()] * len(base), pa.int64())
-    return pa.Table.from_arrays([chunk, base, *heads, *lists], schema=RELATION)
+    of_row = pa.array(bucket[begins] if begins else [0], pa.int64())
+    return pa.Table.from_arrays([chunk, of_row, base, *heads, *lists], schema=RELATION)
+
+
+FREQUENT = pa.schema({"chunk": pa.int64(), "grp": LONGS, "id": LONGS, "first": LONGS, "last": LONGS, "f": LONGS})
+FREQUENT_COLUMNS = "chunk long, grp array<long>, id array<long>, first array<long>, last array<long>, f array<long>"
+
+
+def counted(sections: pa.Table, least: int, of_chunks: bool) -> pa.Table:
+    """Frequent groups of one bucket, from its sections of all chunks.
+
+    The first row has the groups: ``id`` (the place of the first row with it), parts and
+    occurrences ``f``. The others say for each chunk which of its groups are frequent.
+    """
+    length = pc.list_value_length(sections["first"]).to_numpy().astype(np.int64)
+    chunk = np.repeat(sections["chunk"].to_numpy(), length)
+    where = (chunk << GROUP_BITS) | spread(sections["base"].to_numpy(), length)
+    first, last, count = (flat(sections[c]) for c in ("first", "last", "count"))
+    order = np.lexsort((where, last, first))
+    first, last, where, count = first[order], last[order], where[order], count[order].astype(np.int64)
+    new = np.ones(len(order), bool)
+    new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+    begins = np.flatnonzero(new)
+    total = np.add.reduceat(count, begins) if len(begins) else count
+    often = total >= least
+    begins_often = begins[often]
+    rows = [(None, [], where[begins_often], first[begins_often], last[begins_often], total[often])]
+    if of_chunks:
+        kept = np.repeat(often, np.diff([*begins, len(order)]))
+        ids, mine = np.repeat(where[begins], np.diff([*begins, len(order)]))[kept], where[kept]
+        by_place = np.argsort(mine)
+        ids, mine = ids[by_place], mine[by_place]
+        of_row = mine >> GROUP_BITS
+        cuts = np.flatnonzero(np.diff(of_row)) + 1
+        for number, group, id_ in zip(of_row[[0, *cuts]] if len(mine) else [], np.split(mine, cuts), np.split(ids, cuts)):
+            rows.append((int(number), group & ((1 << GROUP_BITS) - 1), id_, [], [], []))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), FREQUENT.types)], schema=FREQUENT)
 
 
 def persisted(frame: DataFrame, name: str) -> DataFrame:
@@ -180,37 +240,46 @@ def persisted(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def grouped(relation: DataFrame, keys: list[str]) -> DataFrame:
-    """A row for each group of each chunk: its key, its count there, and where it is."""
-    arrays = F.arrays_zip(*[F.col(k) for k in keys if k != "lang"], F.col("count"))
-    lang = [k for k in keys if k == "lang"]
-    rows = relation.select("chunk", "base", *lang, F.posexplode(arrays).alias("grp", "row"))
-    where = F.shiftleft("chunk", GROUP_BITS).bitwiseOR(F.col("base") + F.col("grp"))
-    return rows.select(
-        *[F.col(k) if k == "lang" else F.col(f"row.{k}").alias(k) for k in keys],
-        F.col("row.count").alias("count"),
-        where.alias("where"),
+def frequent_words(relation: DataFrame, least: int, name: str) -> DataFrame:
+    """The places of words that have ``least`` occurrences in all: ``chunk``, ``grp`` and the word's ``id``.
+
+    A word's first row also has the word, its language and its occurrences (``f``). Words are
+    counted, and the chunks' rows semi-joined with the frequent ones, in one exchange by
+    word. A word has one row for each chunk.
+    """
+    rows = relation.select("chunk", "base", "lang", F.posexplode(F.arrays_zip("word", "count")).alias("nth", "row"))
+    where = F.shiftleft("chunk", GROUP_BITS).bitwiseOR(F.col("base") + F.col("nth"))
+    rows = rows.select("lang", "row.word", "row.count", where.alias("where")).repartition("lang", "word")
+    counts = rows.groupBy("lang", "word").agg(F.sum("count").alias("f"), F.min("where").alias("id")).filter(F.col("f") >= least)
+    found = rows.drop("count").join(counts, ["lang", "word"])
+    own = F.col("where") == F.col("id")
+    return persisted(
+        found.select(
+            F.shiftright("where", GROUP_BITS).alias("chunk"),
+            F.col("where").bitwiseAND((1 << GROUP_BITS) - 1).alias("grp"),
+            "id",
+            *[F.when(own, F.col(c)).alias(c) for c in ("lang", "word", "f")],
+        ),
+        name,
     )
 
 
-def frequent_groups(relation: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """The places (``where``) of groups that have ``least`` occurrences in all, with their ``id``;
-    a group's first row also has its key and its occurrences (``f``).
+def frequent_groups(relation: DataFrame, least: int, of_chunks: bool, name: str) -> DataFrame:
+    """Groups of two or more words that have ``least`` occurrences in all, and which ones each chunk has.
 
-    Groups are counted, and the rows semi-joined with the frequent ones, in one exchange by
-    key. A frequent group has one row for each chunk, so no key has more rows than chunks.
-    The place of its first row is the group's id.
+    Sections of one bucket come together from all chunks, where groups are counted and the
+    chunks' groups semi-joined with the frequent ones. The number of buckets follows from the
+    corpus, so a bucket is of bounded size, and a group has one entry for each chunk.
     """
-    rows = grouped(relation, keys).repartition(*keys)
-    counts = rows.groupBy(*keys).agg(F.sum("count").alias("f"), F.min("where").alias("id")).filter(F.col("f") >= least)
-    found = rows.drop("count").join(counts, keys)
-    own = F.col("where") == F.col("id")  # only the first row of a group needs to say what it is
-    return persisted(found.select("where", "id", *[F.when(own, F.col(c)).alias(c) for c in (*keys, "f")]), name)
+    sections = relation.filter(F.size("first") > 0).select("bucket", "chunk", "base", "first", "last", "count")
+    work = sections.groupBy("bucket").applyInArrow(lambda rows: counted(rows, least, of_chunks), FREQUENT_COLUMNS)
+    return persisted(work, name)
 
 
 def of_groups(frequent: DataFrame) -> DataFrame:
     """One row for each frequent group."""
-    return frequent.filter(F.col("where") == F.col("id")).drop("where")
+    lists = frequent.filter("chunk is null").select(F.explode(F.arrays_zip("id", "first", "last", "f")).alias("row"))
+    return lists.select("row.*")
 
 
 def discarded(*tables: DataFrame) -> None:
@@ -221,16 +290,12 @@ def discarded(*tables: DataFrame) -> None:
             store.delete_dir(path)
 
 
-def extended(relation: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
+def extended(relation: DataFrame, frequent: DataFrame, buckets: int, name: str) -> DataFrame:
     """The relation of occurrences one word longer."""
-    of_chunk = frequent.select(
-        F.shiftright("where", GROUP_BITS).alias("chunk"),
-        F.col("where").bitwiseAND((1 << GROUP_BITS) - 1).alias("grp"),
-        "id",
-    )
-    schema = "chunk long, base long, at binary, grp binary, first array<long>, last array<long>, count array<long>"
-    pairs = relation.select("chunk", "at", "grp").filter("at is not null").groupBy("chunk").cogroup(of_chunk.groupBy("chunk"))
-    return persisted(pairs.applyInArrow(longer, schema), name)
+    of_chunk = frequent.filter("chunk is not null").select("chunk", "grp", "id")
+    mine = relation.filter("at is not null").select("chunk", "at", "grp")
+    pairs = mine.groupBy("chunk").cogroup(of_chunk.groupBy("chunk"))
+    return persisted(pairs.applyInArrow(lambda a, b: longer(a, b, buckets), RELATION_COLUMNS), name)
 
 
 def described(groups: DataFrame, shorter: DataFrame, words: int) -> DataFrame:
@@ -273,28 +338,24 @@ def candidates(documents: DataFrame, text: str, lang: str, longest: int, least:
     """All phrases of 2 to ``longest`` words with ``least`` occurrences, and ``n`` words of each language."""
     relation = persisted(first_relation(documents, text, lang), "op11-words")
     totals = persisted(relation.groupBy("lang").agg(F.sum("n").alias("n")), "op11-totals")
-    frequent = frequent_groups(relation, ["lang", "word"], least, "op11-frequent1")
+    words_in_all = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(16, -(-words_in_all // BUCKET_WORDS))
+    frequent = frequent_words(relation, least, "op11-frequent1")
     none = F.array().cast("array<long>")
     inner = F.array().cast("array<struct<words:int,id:bigint>>")
-    words_ = of_groups(frequent).select(
+    words_ = frequent.filter("word is not null").select(
         "id", "lang", "f", F.col("word").alias("phrase"), none.alias("heads"), none.alias("tails"), inner.alias("inner")
     )
     last = persisted(words_, "op11-phrases1")
     found = []
     for words in range(2, longest + 1):
         before = (relation, frequent)
-        relation = extended(relation, frequent, f"op11-relation{words}")
+        relation = extended(relation, frequent, buckets, f"op11-relation{words}")
         discarded(*before)
-        if words < longest:
-            frequent = frequent_groups(relation, ["first", "last"], least, f"op11-frequent{words}")
-            groups = of_groups(frequent)
-        else:
-            rows = grouped(relation, ["first", "last"])
-            groups = rows.groupBy("first", "last").agg(F.sum("count").alias("f"), F.min("where").alias("id"))
-            groups = groups.filter(F.col("f") >= least)
-        last = persisted(described(groups, last, words).withColumn("words", F.lit(words)), f"op11-phrases{words}")
+        frequent = frequent_groups(relation, least, words < longest, f"op11-frequent{words}")
+        last = persisted(described(of_groups(frequent), last, words).withColumn("words", F.lit(words)), f"op11-phrases{words}")
         found.append(last)
-    discarded(relation)
+    discarded(relation, frequent)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
