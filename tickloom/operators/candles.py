@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import bucket, instant, since
 from tickloom.schemas import CANDLE_COLUMNS
 
 
+def ends(order: Sequence[str]) -> tuple[Column, Column]:
+    """The first and the last price by ``order``, as aggregates."""
+    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    return F.min_by("price", moment), F.max_by("price", moment)
+
+
 def candles(
     ticks: DataFrame,
     width: timedelta = timedelta(minutes=1),
@@ -23,16 +29,16 @@ def candles(
     Both ends of a candle come from one aggregate, combined before the shuffle, so
     a busy key or minute costs one row per input split.
     """
-    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    opening, closing = ends(order)
     spec = f"{int(width.total_seconds())} seconds"
     rows = (
         ticks.withColumn("_bucket", bucket(F.col("timestamp"), spec))
         .groupBy("id", "symbol", "_bucket")
         .agg(
-            F.min_by("price", moment).alias("open"),
+            opening.alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", moment).alias("close"),
+            closing.alias("close"),
         )
         .withColumnRenamed("_bucket", "timestamp")
     )

@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import round_half_up, safe_pct
-
-
-def _ends(order: Sequence[str]) -> tuple[Column, Column]:
-    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    return F.min_by("price", moment), F.max_by("price", moment)
+from tickloom.operators.candles import ends
 
 
 def series_stats(order: Sequence[str] = ("timestamp",)) -> dict[str, Column]:
@@ -20,7 +16,7 @@ def series_stats(order: Sequence[str] = ("timestamp",)) -> dict[str, Column]:
 
     The net change is null when the first price is null or zero.
     """
-    first, last = _ends(order)
+    first, last = ends(order)
     return {
         "points": F.count(F.lit(1)),
         "min_price": F.min("price"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from time import monotonic
 
 from pyspark import StorageLevel
@@ -41,6 +41,13 @@ RETAINED = {
     "dead_letters": (schemas.DEAD_LETTERS, "created_at", True),
 }
 
+# Tables that are compacted, with the order of their rows. Tables in run folders keep those.
+COMPACTED = {
+    "metrics": ("id", "timestamp"),
+    "candles": ("id", "timestamp"),
+    "run_metrics": ("created_at", "run_id"),
+}
+
 # The five results of a run, as they are kept when they are published together.
 PUBLISHED = {
     "metrics": Published(schemas.METRICS, UPSERT, keep=("symbol",)),
@@ -140,8 +147,18 @@ def retain_all(spark: SparkSession, settings: Settings, as_of: datetime) -> dict
     return {**removed, "latest": expire_latest(spark, path, schemas.METRICS, "timestamp", as_of, days)}
 
 
+def compact_all(spark: SparkSession, settings: Settings, as_of: datetime) -> dict[str, list[date]]:
+    """Rewritten dates per table, of those that no look-back reaches any more."""
+    before = (as_of - timedelta(minutes=settings.lookback_minutes)).date()
+    return {
+        name: tables.compact(spark, f"{settings.tables}/{name}", schema, before, COMPACTED[name])
+        for name, (schema, _, _) in RETAINED.items()
+        if name in COMPACTED
+    }
+
+
 def run(spark: SparkSession, settings: Settings, as_of: datetime | None = None) -> dict[str, int]:
-    """Analyse, retain, and log the outcome as a run metric."""
+    """Analyse, retain, compact closed dates, and log the outcome as a run metric."""
     as_of = utc_now() if as_of is None else as_of
     run_id = f"{as_of:%Y%m%dT%H%M%S}"
     started = monotonic()
@@ -154,6 +171,7 @@ def run(spark: SparkSession, settings: Settings, as_of: datetime | None = None)
     try:
         analyse(spark, settings, as_of, together=bool(settings.publish_together))
         removed = retain_all(spark, settings, as_of)
+        compact_all(spark, settings, as_of)
     except Exception as failure:
         log("failure", str(failure))
         raise

@@ -36,7 +36,7 @@ from tickloom.session import scratch, written
 from tickloom.sinks import publish, tables
 from tickloom.sinks.latest import expire_latest, merge_latest, read_latest
 from tickloom.sources import lake, messages
-from tickloom.streaming import ingest
+from tickloom.streaming import candles as stream_candle_ops, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -806,6 +806,53 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(path).select("timestamp", "id", "symbol", "price", "market_cap", "dt")
 
 
+@query(f"""{using("aligned")}
+  SELECT "timestamp", id, upper(id) AS symbol, price, CAST(NULL AS BIGINT) AS market_cap,
+         CAST("timestamp" AS DATE) AS dt
+  FROM aligned WHERE price > 0""")
+def stream_ingest_once(spark, sf_dir):
+    """Every message sent twice at once, and again to the stream when it is started anew."""
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("inbox", "lake", "checkpoint"))
+    quotes = v.aligned(spark, sf_dir).select(
+        "id",
+        F.upper("id").alias("symbol"),
+        F.col("price").alias("current_price"),
+        F.lit(None).cast("long").alias("market_cap"),
+        "timestamp",
+    )
+    sent = messages.envelopes(quotes).select("value")
+    for _ in range(2):
+        sent.unionAll(sent).write.mode("append").text(inbox)
+        feed = messages.read_messages(spark, "text", {}, inbox)
+        ingest.start_ticks(
+            feed, path, checkpoint, backfill=True, repeats_within="1 hour"
+        ).awaitTermination()
+    return spark.read.parquet(path).select("timestamp", "id", "symbol", "price", "market_cap", "dt")
+
+
+# The newest bucket that the stream closes ends ten minutes before the newest tick.
+_STREAM_HOURLY = _HOURLY.split("HAVING")[0] + f"""
+  HAVING date_trunc('HOUR', "timestamp") + INTERVAL 70 MINUTE <= (SELECT max("timestamp") FROM ticks_type))"""
+
+
+@query(f'{using("ticks_type")}, {_STREAM_HOURLY} SELECT * FROM candles')
+def stream_candles(spark, sf_dir):
+    """Streamed candles; every tenth tick comes after its bucket has closed, and amends it."""
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("inbox", "candles", "checkpoint"))
+    rows = v.ticks_type(spark, sf_dir)
+    late = F.pmod(F.col("seq"), F.lit(10)) == 0
+    hour = timedelta(hours=1)
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(inbox)
+        feed = spark.readStream.schema(rows.schema).parquet(inbox)
+        stream_candle_ops.start_candles(
+            feed, path, checkpoint, hour, USER_ORDER, backfill=True
+        ).awaitTermination()
+    streamed = spark.read.parquet(path)
+    amendments = stream_candle_ops.amendments(rows, streamed, hour, USER_ORDER)
+    return stream_candle_ops.amended(streamed, amendments)
+
+
 @query(f"""{using("ticks_type")}
   SELECT "timestamp", id, symbol, price, seq, CAST("timestamp" AS DATE) AS dt FROM ticks_type
   WHERE "timestamp" >= {_WEEK}""")

@@ -20,6 +20,8 @@ class Settings:
     retention_days: int = 7
     alert_threshold_pct: float = 2.0
     expected_records: int = 20
+    repeat_minutes: int = 60  # a message sent again within this lands once; 0: not looked for
+    candle_late_minutes: int = 0  # candles of the stream, closed so long after their end; 0: none
     publish_together: int = 0  # 1: the five results of a run become visible in one switch
     object_store_endpoint: str = ""
     object_store_key: str = ""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,24 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{column}="))
 
 
+def partition_marks(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """A digest of the data files of each partition, which changes with every write to it.
+
+    Made of file names and sizes alone; the names that Spark gives are never used again.
+    """
+    fs, _ = _locate(spark, path)
+    marks = {}
+    for value in partition_values(spark, path, column):
+        _, folder = _locate(spark, f"{path}/{column}={value}")
+        found = sorted(
+            f"{status.getPath().getName()} {status.getLen()}"
+            for status in fs.listStatus(folder)
+            if not status.getPath().getName().startswith(("_", "."))
+        )
+        marks[value] = sha256("\n".join(found).encode()).hexdigest()
+    return marks
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, location = _locate(spark, path)
     fs.delete(location, True)

@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.clock import DATE_PARTITION, instant
-from tickloom.sinks.files import drop_folder, exists, has_data, partition_values
+from tickloom.functions.clock import DATE_PARTITION, instant, utc_now
+from tickloom.sinks.files import drop_folder, exists, has_data, partition_marks, partition_values
 from tickloom.sources.lake import read_table
 
 RUN_PARTITION = "batch_id"
 KEY = ("id", "timestamp")
+LEDGER = "_compacted"
+_LEDGER_ROWS = T.StructType([T.StructField(c, T.StringType()) for c in (DATE_PARTITION, "mark")])
 
 
 def check_run_id(run_id: str) -> None:
@@ -158,25 +160,55 @@ def compact(
     schema: T.StructType,
     before: date,
     order: Sequence[str] = KEY,
-) -> None:
-    """Rewrite the dates before a day as few files, each sorted by ``order``.
+) -> list[date]:
+    """Rewrite the dates before a day as few files, each sorted by ``order``; the dates rewritten.
 
     Appends leave a file for each task, date and trigger. Sorted files keep the rows of one
     key together, so that the statistics of row groups let a read of one key skip the others.
     Dates on or after ``before`` are left to writers that may still add rows. Partitions are
-    swapped as in any other write here, and a rerun writes the same rows again.
+    swapped as in any other write here.
+
+    A ledger inside the folder names the files of each date as compaction left them. A date is
+    rewritten only if its files are others now, so late rows bring it back and a second run
+    writes nothing. The ledger follows the data: a run that dies between them writes the same
+    rows again. A stream's own folder lists its files in a log and can't be rewritten.
     """
     if not has_data(spark, path):
-        return
-    closed = read_table(spark, path, schema).filter(F.col(DATE_PARTITION) < F.lit(before))
+        return []
+    if exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is written by a stream, whose log names its files")
+    ledger = f"{path}/{LEDGER}"
+    # a row per date
+    done = {row[DATE_PARTITION]: row["mark"] for row in current_snapshot(spark, ledger, _LEDGER_ROWS).collect()}
+    changed = {
+        value
+        for value, mark in partition_marks(spark, path, DATE_PARTITION).items()
+        if re.fullmatch(r"\d{4}-\d\d-\d\d", value)
+        and date.fromisoformat(value) < before
+        and done.get(value) != mark
+    }
+    if not changed:
+        return []
+    dates = [date.fromisoformat(value) for value in sorted(changed)]
     (
-        closed.hint("rebalance", DATE_PARTITION)
+        read_table(spark, path, schema)
+        .filter(F.col(DATE_PARTITION).isin(dates))
+        .hint("rebalance", DATE_PARTITION)
         .sortWithinPartitions(DATE_PARTITION, *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_PARTITION)
         .parquet(path)
     )
+    # a date that was not rewritten keeps its mark, which shows whether it has changed since
+    marks = {
+        value: mark if value in changed else done[value]
+        for value, mark in partition_marks(spark, path, DATE_PARTITION).items()
+        if value in changed or value in done
+    }
+    rows = spark.createDataFrame(sorted(marks.items()), _LEDGER_ROWS).coalesce(1)
+    replace_snapshot(rows, ledger, f"{utc_now():%Y%m%dT%H%M%S%f}")
+    return dates
 
 
 def replace_snapshot(rows: DataFrame, path: str, run_id: str) -> None:
