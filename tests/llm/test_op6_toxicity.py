@@ -44,6 +44,19 @@ def test_all_maximal_segments_are_found():
             assert np.allclose([s for _, _, s in found], [s for _, _, s in want])
 
 
+def test_a_very_long_text_takes_linear_time():
+    """Runs that fall for long, then rise over all of them, then fall again."""
+    n = 200_000
+    falling = np.tile([1.0, -1.5], n)
+    (found,) = op.passages(falling, np.array([0, len(falling)]))
+    assert len(found) == n
+    rising = np.tile([1.5, -1.0], n)
+    both = np.concatenate([falling, rising, falling])
+    (found,) = op.passages(both, np.array([0, len(both)]))
+    assert len(found) == 2 * n + 1  # the rising runs are one segment
+    assert max(found, key=lambda s: s[2])[:2] == (2 * n, 4 * n - 1)
+
+
 def fixture(spark):
     rng = random.Random(1)
     words = [f"w{i}" for i in range(300)]

@@ -68,24 +68,27 @@ def positive_runs(scores: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
 
 def maximal_segments(begin: list[int], end: list[int], low: list[float], high: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of one text, in one pass over its positive runs.
+    """All maximal scoring segments of one text, in time linear in its positive runs.
 
     ``low`` and ``high`` are the running totals before and after each run. A run joins the
-    nearest earlier segment that begins lower if that also ends lower, and again.
+    nearest earlier segment that begins lower if that also ends lower, and again. Every segment
+    knows the nearest earlier one that begins lower than itself, so a search passes over those
+    between; what it has passed lies behind the new segment's own link, or is joined to it,
+    and is never passed again.
     """
-    found: list[list] = []
+    found: list[tuple[int, int, float, float, int]] = []
     for b, e, lo, hi in zip(begin, end, low, high, strict=True):
-        item = [b, e, lo, hi]
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= item[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= item[3]:
-                found.append(item)
+            while j >= 0 and found[j][2] >= lo:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= hi:
+                found.append((b, e, lo, hi, j))
                 break
-            item = [found[j][0], item[1], found[j][2], item[3]]
+            b, _, lo, _, lower = found[j]
             del found[j:]
-    return [(b, e, hi - lo) for b, e, lo, hi in found]
+            j = lower
+    return [(b, e, hi - lo) for b, e, lo, hi, _ in found]
 
 
 def passages(scores: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, int, float]]]:
