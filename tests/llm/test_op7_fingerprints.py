@@ -35,6 +35,37 @@ def test_features_do_not_depend_on_neighbours():
     assert start.tolist() == sorted(j for j, n in wins.items() if n >= op.POPULAR)
 
 
+@pytest.mark.parametrize("window, popular", [(op.WINDOW, op.POPULAR), (op.SHORT_WINDOW, op.SHORT_POPULAR)])
+def test_features_are_the_winners_of_races(window, popular):
+    rng = random.Random(window)
+    for size in (2 * window + popular - 3, 2 * window + popular - 2, 141, 142, 700):
+        text = bytes(rng.choices(b"etaoin shrdlu  ", k=size))
+        values = np.array(
+            [-sum(c / window * math.log2(c / window) for c in Counter(text[i : i + window]).values()) for i in range(size - window + 1)]
+        )
+        rank = op.ranks(np.round(values, 6), window)
+        wins = Counter(min(range(i, i + window), key=lambda j: (rank[j], j)) for i in range(len(rank) - window + 1))
+        start, _ = op.features(np.frombuffer(text, np.uint8), np.full(size, size), window, popular)
+        assert start.tolist() == sorted(j for j, n in wins.items() if n >= popular and rank[j] < 1 << 16)
+
+
+def test_short_texts_resemble_their_edits():
+    rng = random.Random(3)
+    words = "some texts are short but nobody wants to lose their likeness only for that small reason alone".split()
+    near, far = [], []
+    for size in range(30, op.SHORT, 3):
+        a, b = (" ".join(rng.choices(words, k=60)).title()[:size] for _ in range(2))
+        c = "".join(rng.choices("zxqjkvw \u00e4", k=size))[: size // 2]
+        x, y, z = op.digests([a.encode(), op.edited(a, b).encode(), c.encode()])
+        near.append(op.likeness(x, y))
+        far.append(op.likeness(x, z))
+        assert op.likeness(x, x) == 1
+    assert min(near) > 0.1 and np.mean(near) > 0.4 and np.mean(far) < 0.05
+    # the features of a text do not depend on others it is worked on with, of either kind
+    texts = [bytes(rng.choices(b"etaoin shrdlu", k=n)) for n in (0, 15, 16, 141, 142, 900, 60)]
+    assert [d[0] for d in op.digests(texts)] == [op.digests([t])[0][0] for t in texts]
+
+
 def test_likeness():
     rng = random.Random(7)
     a = bytes(rng.choices(b"etaoin shrdlu,.", k=40_000))

@@ -19,6 +19,8 @@ from tickloom.session import written
 
 WINDOW = 64  # bytes of a feature, and features that compete for the lowest rank
 POPULAR = 16  # times a feature must win to be kept
+SHORT = 2 * WINDOW + POPULAR - 2  # bytes below which no window can win so often
+SHORT_WINDOW, SHORT_POPULAR = 8, 2  # the same of texts below that
 FILTER_BITS = 2048
 FILTER_FEATURES = 160
 HASHES = 5
@@ -32,18 +34,19 @@ MOST_BLOCKS = 1 << 16  # beyond it blocks grow; their rows are sorted and read a
 _SCALE = 1 << 14
 _COUNTS = np.arange(WINDOW + 1)
 _TERM = np.rint(_SCALE * np.where(_COUNTS > 0, _COUNTS * np.log2(np.maximum(_COUNTS, 1)), 0)).astype(np.int64)
-_USUAL, _SPREAD, _LEAST = 3.6, 0.3, 1.0
+_LEAST = 1.0
+_LAWS = {WINDOW: (3.6, 0.3), SHORT_WINDOW: (2.7, 0.25)}  # usual entropy and spread by window
 
 
-def entropies(data: np.ndarray) -> np.ndarray:
-    """Bits of entropy of every window of WINDOW bytes.
+def entropies(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Bits of entropy of every window of so many bytes.
 
     The number of equal bytes before and behind each byte within a window gives what it adds
     when it enters and takes away when it leaves; running sums of that give all windows.
     """
     n = len(data)
     before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
-    for k in range(1, WINDOW):
+    for k in range(1, window):
         same = (data[k:] == data[:-k]).view(np.uint8)
         before[k:] += same
         after[:-k] += same
@@ -52,42 +55,46 @@ def entropies(data: np.ndarray) -> np.ndarray:
     # of a window, the sum over its bytes' values of count * log2(count)
     total = np.cumsum(enter)
     gone = np.cumsum(leave)
-    held = total[WINDOW - 1 :].copy()
-    held[1:] -= gone[: n - WINDOW]
-    return np.log2(WINDOW) - held / (_SCALE * WINDOW)
+    held = total[window - 1 :].copy()
+    held[1:] -= gone[: n - window]
+    return np.log2(window) - held / (_SCALE * window)
 
 
-def ranks(entropy: np.ndarray) -> np.ndarray:
+def ranks(entropy: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Rarity ranks, 0 the rarest, of which ties are settled by place."""
-    off = np.minimum(np.abs(entropy - _USUAL) / _SPREAD, 8.0)
+    usual, spread = _LAWS[window]
+    off = np.minimum(np.abs(entropy - usual) / spread, 8.0)
     return np.where(entropy < _LEAST, 1 << 16, np.rint((8.0 - off) * 1000)).astype(np.int64)
 
 
-def features(data: np.ndarray, owner_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def features(
+    data: np.ndarray, owner_end: np.ndarray, window: int = WINDOW, popular: int = POPULAR
+) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the kept windows of texts that lie end to end.
 
-    ``owner_end`` is, for each byte, the end of its text. A window competes with the next
-    WINDOW - 1 of its text; the one of lowest rank, the leftmost among equals, wins.
+    ``owner_end`` is, for each byte, the end of its text. Races run over ``window`` neighbouring
+    windows of one text; the one of lowest rank, the leftmost among equals, wins, and those
+    that win ``popular`` races are kept. So a text of fewer than 2 * window + popular - 2 bytes
+    has none.
     """
-    n = len(data) - WINDOW + 1
-    if n < WINDOW:
+    n = len(data) - window + 1
+    if n < window:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n)
-    inside = at + WINDOW <= owner_end[:n]
-    rank = ranks(entropies(data))
+    inside = at + window <= owner_end[:n]
+    rank = ranks(entropies(data, window), window)
     packed = np.where(inside, (rank << 40) + at, np.int64(1) << 62)
     best, span = packed, 1
-    while span < WINDOW:
-        step = min(span, WINDOW - span)
+    while span < window:
+        step = min(span, window - span)
         best = np.minimum(best[: len(best) - step], best[step:])
         span += step
-    # a race runs over WINDOW windows of one text, or over all of a text that has fewer
     first = np.arange(len(best))
-    races = (first + 2 * WINDOW - 1 <= owner_end[: len(best)])
+    races = first + 2 * window - 1 <= owner_end[: len(best)]
     wins = np.bincount(best[races] & ((1 << 40) - 1), minlength=n)
-    keep = inside & (wins >= POPULAR) & (rank < 1 << 16)
+    keep = inside & (wins >= popular) & (rank < 1 << 16)
     start = np.flatnonzero(keep)
-    grid = data[start[:, None] + np.arange(WINDOW)]
+    grid = data[start[:, None] + np.arange(window)]
     lanes = np.ascontiguousarray(grid).view("<u8")
     hashed = np.zeros(len(start), np.uint64)
     for lane in lanes.T:
@@ -108,7 +115,7 @@ def filters(hashes: np.ndarray) -> np.ndarray:
 def digest(hashes: np.ndarray, raw: bytes) -> tuple[str, np.ndarray]:
     """The fingerprint as text and as filters.
 
-    A text without a kept window (it is short, or near constant) is known by its SHA-256 only.
+    A text without a kept window (it is very short, or near constant) is known by its SHA-256 only.
     """
     if not len(hashes):
         return f"0:{hashlib.sha256(raw).hexdigest()}", np.zeros((0, FILTER_BITS // 8), np.uint8)
@@ -145,7 +152,11 @@ def _likeness(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def digests(texts: list[bytes]) -> list[tuple[str, np.ndarray]]:
-    """Fingerprints of many texts, worked on together in slices of bounded size."""
+    """Fingerprints of many texts, worked on together in slices of bounded size.
+
+    Texts under SHORT bytes have features of SHORT_WINDOW bytes, those under 16 bytes none.
+    Features of both kinds are never alike, so neither are a short text and a long one.
+    """
     out, begin = [], 0
     while begin < len(texts):
         end, total = begin, 0
@@ -153,15 +164,25 @@ def digests(texts: list[bytes]) -> list[tuple[str, np.ndarray]]:
             total += len(texts[end])
             end += 1
         part = texts[begin:end]
-        ends = np.cumsum([len(t) for t in part])
-        owner_end = np.repeat(ends, [len(t) for t in part])
-        start, hashed = features(np.frombuffer(b"".join(part), np.uint8), owner_end)
-        cut = np.searchsorted(start, ends)
-        out += [digest(h, t) for h, t in zip(np.split(hashed, cut[:-1]), part, strict=True)]
+        hashes = hashes_of(part, WINDOW, POPULAR)
+        short = [i for i, t in enumerate(part) if len(t) < SHORT]
+        for i, found in zip(short, hashes_of([part[i] for i in short], SHORT_WINDOW, SHORT_POPULAR), strict=True):
+            hashes[i] = found
+        out += [digest(h, t) for h, t in zip(hashes, part, strict=True)]
         begin = end
     return out
 
 
+def hashes_of(texts: list[bytes], window: int, popular: int) -> list[np.ndarray]:
+    """The features of each text."""
+    if not texts:
+        return []
+    sizes = [len(t) for t in texts]
+    ends = np.cumsum(sizes)
+    start, hashed = features(np.frombuffer(b"".join(texts), np.uint8), np.repeat(ends, sizes), window, popular)
+    return np.split(hashed, np.searchsorted(start, ends)[:-1])
+
+
 def edited(text: str, after: str) -> str:
     """The last third of a text replaced by as many characters (or all) from the next one."""
     third = len(text) // 3
