@@ -49,6 +49,17 @@ def test_ids_equal_the_library(spark):
     assert ours([None, "the ▁ mark"], model, units)[1] == [b"", b"the   mark"]
 
 
+def test_runs_of_spaces_of_any_length_equal_the_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    model, units = op.pieces(PATH)
+    assert model.run == 16
+    ends = ["", "code", "\n", "中x", "😀", "ing  two", "\tq"]
+    texts = [start + " " * n + end for start in ("", "a") for n in (*range(58, 100), 1000, 100_003) for end in ends]
+    got, back = ours(texts, model, units)
+    assert got == library.encode(texts, num_threads=1)
+    assert [b.decode() for b in back] == texts
+
+
 def test_unigram_paths_have_the_best_score(tmp_path):
     """The same pieces with scores of a unigram model: the library's own Viterbi is the measure."""
     model = sentencepiece_model_pb2.ModelProto()

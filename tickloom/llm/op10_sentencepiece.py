@@ -79,8 +79,10 @@ class Pieces:
         self.rank[self.length == 1] = -1
         self.rank[size] = -1
         self.worst = float(self.scores[words].min()) - _UNK_PENALTY
+        self.run, self.run_id = 0, -1
         if self.kind == BPE:
             self._split()
+            self.run, self.run_id = self._space_run()
         texts = [self._raw(i) for i in range(size)]
         self.raw_length = np.array([len(t) for t in texts])
         self.raw_begin = np.cumsum(self.raw_length) - self.raw_length
@@ -160,6 +162,30 @@ class Pieces:
             odd[i] = a >= 0 and (odd[a] or odd[b] or max(self.rank[a], self.rank[b]) >= self.rank[i])
         self.odd = odd
 
+    def _space_run(self) -> tuple[int, int]:
+        """Length and id of the longest piece of spaces if long runs begin with it; else 0 and -1.
+
+        They do if pieces that begin with two spaces are all spaces and merge after all others, at
+        one score: then the words are done first, and spaces are merged from the left, where what
+        has come to the longest piece is final and leaves a shorter run. Tried on a whole period.
+        """
+        mark = ord(SPACE)
+        runs = [i for i, c in self.chars.items() if c[:2] == [mark, mark]]
+        others = [i for i, c in self.chars.items() if len(c) > 1 and c[:2] != [mark, mark]]
+        if not runs or any(set(self.chars[i]) != {mark} for i in runs) or len(set(self.rank[runs])) > 1:
+            return 0, -1
+        if others and self.rank[others].max() >= self.rank[runs[0]]:
+            return 0, -1
+        best = max(runs, key=lambda i: len(self.chars[i]))
+        m = len(self.chars[best])
+
+        def merged(n: int) -> list[int]:
+            ids = self.merge(np.full((1, n), mark))[0][0]
+            return ids[ids >= 0].tolist()
+
+        whole = all(merged(n + m) == [best, *merged(n)] for n in range(2 * m - 1, 3 * m))
+        return (m, best) if whole else (0, -1)
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging keeps pieces a and b apart when they stand side by side.
 
@@ -237,6 +263,13 @@ class Pieces:
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units end to end, and the number for each. Units of one length go together."""
         texts = [u.decode("utf-8", "replace").replace(" ", SPACE) for u in units]
+        heads: dict[int, int] = {}  # pieces that long runs of spaces begin with
+        if self.run:
+            long = SPACE * (4 * self.run)
+            for i, t in enumerate(texts):
+                if t.startswith(long):
+                    heads[i] = (len(t) - len(t.lstrip(SPACE))) // self.run - 2
+                    texts[i] = t[heads[i] * self.run :]
         by: dict[tuple[int, bool], list[int]] = {}
         for i, t in enumerate(texts):
             by.setdefault((len(t), t.startswith(SPACE * 2)), []).append(i)
@@ -257,6 +290,8 @@ class Pieces:
                 else:
                     ids, take, ends = self._path(*self.viterbi(grid))
                 self._emit(part, texts, ids, take, ends, found)
+        for i, n in heads.items():
+            found[i] = np.concatenate([np.full(n, self.run_id), found[i]])
         none = np.zeros(0, np.int64)
         done = [none if x is None else x for x in found]
         return np.concatenate([none, *done]).astype(np.uint32), np.array([len(x) for x in done], np.int64)
