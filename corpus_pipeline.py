@@ -66,17 +66,19 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document stands in the result as many times as it is taken, 0 to 2.
     """
     names = docs.columns
-    row, size, copies, part, extra = (fresh(names, n) for n in ("row", "size", "copies", "source_of", "again"))
+    row, size, copies, extra, key, part = (
+        fresh(names, n) for n in ("row", "size", "copies", "again", "key", "part")
+    )
     sized = docs.withColumns({row: F.xxhash64("doc_id", "text"), size: word_count(F.col("text"))})
     slim = written(sized.select(F.col(row).alias("row"), F.col("source").alias("source_of"), F.col(size).alias("size")), "pipeline-sizes")
     _, wanted = op3_mixing.source_targets(slim, "source_of", "size")
     mixed = op3_mixing.mix_copies(slim, "row", "source_of", "size", wanted, op3_mixing.MOST_COPIES)
-    # equal rows share a key: they are taken the average of their copies, rounded down for the later ones
+    # equal rows share a key: each is taken the average of their copies, rounded half up
     shared = mixed.groupBy("row", "source_of").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
     taken = shared.select(
-        F.col("row").alias("_r"), F.col("source_of").alias("_s"), F.round(F.col("copies") / F.col("n")).cast("int").alias(copies)
+        F.col("row").alias(key), F.col("source_of").alias(part), F.round(F.col("copies") / F.col("n")).cast("int").alias(copies)
     )
-    joined = sized.join(taken, (F.col(row) == F.col("_r")) & F.col("source").eqNullSafe(F.col("_s"))).filter(F.col(copies) > 0)
+    joined = sized.join(taken, (F.col(row) == F.col(key)) & F.col("source").eqNullSafe(F.col(part))).filter(F.col(copies) > 0)
     repeats = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(extra)
     return joined.select(*[F.col(f"`{c}`") for c in names], repeats).select(*names)
 
