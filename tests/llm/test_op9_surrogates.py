@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tickloom.llm.op9_surrogates import ENTITY, distinct_surrogates, op9_surrogates, replace_entities
+from tickloom.llm.op9_surrogates import ENTITY, KEY_SETTING, distinct_surrogates, op9_surrogates, replace_entities
 
 SMALL = "/root/testdata/sf0.001"
 EMAIL = r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"
@@ -78,6 +78,56 @@ def test_whole_names_and_bare_mentions(spark):
     assert text[3] == rows[2][1]
 
 
+def test_script_and_form_of_names(spark):
+    rows = [
+        (1, "Mr JOHN SMITH and Mr. J. Smith; John Smith, SMITH, Smith."),
+        (2, "MR  SMITH. Mrs\nSmith. Ms Jane van der Berg, Berg. Dr Παπαδόπουλος."),
+        (3, "анна@почта.рф علي@mail.com 李明@mail.com"),
+        (4, "MS Windows, Mrs. and DR are clean."),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in replace_entities(frame, "text").collect()}
+    given, last, letter = re.match(r"Mr ([A-Z]+) ([A-Z]+) and Mr\. ([A-Z])\. ", text[1]).groups()
+    low = last.capitalize()
+    assert text[1] == f"Mr {given} {last} and Mr. {letter}. {low}; {given.capitalize()} {low}, {last}, {low}."
+    got = re.fullmatch(r"MR  ([A-Z]+)\. Mrs\n(\w+)\. Ms (\w+) van der (\w+), (\w+)\. Dr ([\u0370-\u03ff]+)\.", text[2])
+    assert got.group(1) == last and got.group(2) == low and got.group(4) == got.group(5) != "Berg" and got.group(3) != "Jane"
+    assert not re.search("(?i)smith|john|jane|berg|παπ", text[1] + text[2])
+    a, b, c = text[3].split()
+    assert re.match("[а-я]{4}@", a) and re.match("[\u0600-\u06ff]{3}@", b) and re.match("[\u4e00-\u9fff]{2}@", c)
+    assert a != rows[2][1].split()[0] and text[4] == rows[3][1]
+
+
+def test_keys_addresses_and_accounts(spark):
+    key = "0123456789ABCDEF" * 2
+    rows = [(1, f"{key} {key.lower()} 2001:db8::ff00:42:8329 2001:DB8::FF00:42:8329 at 12:30:45, a::b"), (2, "DE44 5001 0517 5407 3249 31")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in replace_entities(frame, "text").collect()}
+    up, low, one, two, *rest = text[1].split()
+    assert up.lower() == low != key.lower() and re.fullmatch("[0-9A-F]{32}", up) and rest == "at 12:30:45, a::b".split()
+    assert one.upper() == two and re.fullmatch("[0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4}", one) and one not in rows[0][1]
+    iban = text[2].replace(" ", "")
+    assert iban.startswith("DE") and int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def test_the_key_is_the_sessions(spark):
+    frame = spark.createDataFrame([(1, "bob@mail.com")], "doc_id long, text string")
+    usual = replace_entities(frame, "text").first().text
+    spark.conf.set(KEY_SETTING, "another")
+    try:
+        other = replace_entities(frame, "text").first().text
+    finally:
+        spark.conf.unset(KEY_SETTING)
+    assert usual != other and replace_entities(frame, "text").first().text == usual
+
+
+def test_a_very_long_text(spark):
+    long = "a1.b-" * 100_000 + " bob@mail.com " + "9" * 50_000 + " " + "Mr " * 20_000 + "A" * 50_000
+    frame = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    got = replace_entities(frame, "text").first().text
+    assert "bob@mail.com" not in got and got.startswith(long[:500_000]) and len(got) > 600_000
+
+
 def test_collisions_are_drawn_again(spark):
     parts = spark.createDataFrame([("k", c) for c in "abcdef"] + [("k", "a")], "kind string, norm string")
     # attempt 0 always gives "a", which is found in the texts; later ones give few values

@@ -10,31 +10,44 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import fresh, table
 from tickloom.session import written
 
+# The session names the key of a mapping that others must not rebuild; without one the
+# mapping is that of this public default.
+KEY_SETTING = "spark.tickloom.surrogateKey"
 KEY = "surrogates-v1"
 
 _SECRET = r"(?i:password|passwd|secret|api[_-]?key|token)\s{0,2}[=:]\s{0,2}[\"']?"
-_MALE = "Mr|Herr|Señor|Monsieur|Г-н|г-н"
-_FEMALE = "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Г-жа|г-жа"
-_OPEN = "Dr|Prof"
-_TITLE = f"(?:{_MALE}|{_FEMALE}|{_OPEN})\\.? "
-_PART = r"(?:\p{Lu}\.(?= \p{Lu})|\p{Lu}[\p{L}\p{M}]*+(?:['’-](?!s(?![\p{L}\p{M}]))[\p{L}\p{M}]++)*+)"
+_MALE = "Mr|MR|Herr|HERR|Señor|Monsieur|Г-н|г-н"
+_FEMALE = "Mrs|MRS|Ms|Miss|MISS|Frau|FRAU|Señora|Madame|Mme|Г-жа|г-жа"
+_OPEN = "Dr|DR|Prof|PROF"
+_GAP = r"[\s ]"
+_TITLE = f"(?:{_MALE}|{_FEMALE}|{_OPEN})\\.?{_GAP}{{1,3}}+"
+_PARTICLE = "(?:van|von|der|den|de|del|della|di|da|dos|la|le|zu|ter|ten|bin|ibn|al|el)"
+_PART = r"(?:\p{Lu}\.(?=[  ]{1,3}\p{Lu})|\p{Lu}[\p{L}\p{M}]*+(?:['’-](?!s(?![\p{L}\p{M}]))[\p{L}\p{M}]++)*+)"
+_SPACE = r"[  ]{1,3}+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEXES = "[0-9A-Fa-f]{1,4}"
 # One alternative for each kind. None can be tried again and again over one long run of
 # characters: runs are taken whole, or looked at from their start only.
 PATTERNS = {
-    "secret": _SECRET + r"[^\s\"'<>]{6,}+",
+    "secret": "(?=[pastPAST])" + _SECRET + r"[^\s\"'<>]{6,}+",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "aws_key": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,}+(?![0-9A-Za-z])",
+    "hex_key": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEXES}:){{7}}{_HEXES}|(?=[0-9A-Fa-f]{{4}}:)(?:{_HEXES}:){{1,6}}(?::{_HEXES}){{1,6}})(?![\p{{L}}\p{{N}}:])",
     "card": r"(?<![\d.])(?:\d{4}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d)(?!\.\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_PART}(?: (?!{_TITLE}){_PART})*+",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_PART}(?:(?:{_SPACE}{_PARTICLE}){{0,3}}{_SPACE}(?!{_TITLE}){_PART})*+",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-
+# What a kind begins with is looked at first, so that most places of a text are passed in one step.
+_FIRST = {
+    "email": r"(?=[\p{L}\p{N}._%+-])", "aws_key": "(?=A)", "hex_key": "(?=[0-9A-Fa-f])", "iban": "(?=[A-Z]{2})",
+    "ipv6": "(?=[0-9A-Fa-f])", "card": r"(?=\d)", "ssn": r"(?=\d)", "phone": r"(?=[\d+(])", "ipv4": r"(?=\d)",
+    "name": "(?=[MHSFDPГг])",
+}
+ENTITY = "|".join(f"(?:{_FIRST.get(kind, '')}{p})" for kind, p in PATTERNS.items())
 # Given names by kind, fixed; surnames and further names are made of syllables.
 GIVEN = {
     "given_male": "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Nico Oscar Paul Rafael Simon Tomas Viktor".split(),
@@ -43,6 +56,26 @@ GIVEN = {
 }
 _LATIN = "ba be di do fa go ha jo ka le li mo na no pe ra ri sa so ta te va vi zo".split()
 _CYRILLIC = "ба ве ди до за ка ле ли мо на но пе ра ри са со та те фи хо".split()
+_GREEK = "βα γε δι κα λο μα νι πα ρο σα τα φι".split()
+
+# Letters of a script, or of a case of it, that stand in a row: first code point and how many.
+# A letter is replaced by one of the first line that it fits; all others become Latin ones.
+LETTERS = {
+    r"^(?=\p{Lu})\p{IsCyrillic}": (0x410, 32),
+    r"^(?=\p{L})\p{IsCyrillic}": (0x430, 32),
+    r"^(?=\p{Lu})\p{IsGreek}": (0x393, 15),
+    r"^(?=\p{L})\p{IsGreek}": (0x3B1, 17),
+    r"^(?=\p{L})\p{IsArabic}": (0x62D, 14),
+    r"^(?=\p{L})\p{IsHebrew}": (0x5D0, 27),
+    r"^(?=\p{L})\p{IsDevanagari}": (0x915, 37),
+    r"^(?=\p{L})\p{IsThai}": (0xE01, 46),
+    r"^(?=\p{L})\p{IsHangul}": (0xAC00, 11172),
+    r"^(?=\p{L})\p{IsHiragana}": (0x304B, 40),
+    r"^(?=\p{L})\p{IsKatakana}": (0x30AB, 40),
+    r"^(?=\p{L})\p{IsHan}": (0x4E00, 2000),
+    r"^\p{Lu}": (0x41, 26),
+    r"^\p{L}": (0x61, 26),
+}
 
 
 def kind_of(raw: Column) -> Column:
@@ -51,7 +84,8 @@ def kind_of(raw: Column) -> Column:
         F.when(raw.rlike("^" + _SECRET), "secret")
         .when(raw.contains("@"), "email")
         .when(raw.rlike("^AKIA[0-9A-Z]{16}$"), "aws_key")
-        .when(raw.rlike("^[0-9a-f]{32,}$"), "hex_key")
+        .when(raw.rlike("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "hex_key")
+        .when(raw.contains(":") & raw.rlike("^[0-9A-Fa-f:]+$"), "ipv6")
         .when(raw.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(raw.rlike(r"^\p{L}"), "name")
         .when(raw.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ipv4")
@@ -63,21 +97,53 @@ def kind_of(raw: Column) -> Column:
 
 def _parts_of_name(raw: Column) -> Column:
     """The given names, if there are more words than one, and a surname, each with its kind."""
-    words = F.split(raw, " ")
+    words = _words(raw)
     gender = (
-        F.when(raw.rlike(f"^(?:{_FEMALE})\\.? "), "given_female")
-        .when(raw.rlike(f"^(?:{_MALE})\\.? "), "given_male")
+        F.when(raw.rlike(f"^(?:{_FEMALE})\\.?{_GAP}"), "given_female")
+        .when(raw.rlike(f"^(?:{_MALE})\\.?{_GAP}"), "given_male")
         .otherwise("given_open")
     )
-    script = lambda w: F.when(w.rlike(r"^\p{IsCyrillic}"), "_cyrillic").otherwise("")
+    script = lambda w: F.when(w.rlike(r"^\p{IsCyrillic}"), "_cyrillic").when(w.rlike(r"^\p{IsGreek}"), "_greek").otherwise("")
     part = lambda kind, w: F.struct(F.concat(kind, script(w)).alias("kind"), F.lower(w).alias("norm"))
-    given = F.transform(F.slice(words, F.lit(2), F.size(words) - 2), lambda w: part(gender, w))
+    given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: part(gender, w))
     return F.concat(given, F.array(part(F.lit("surname"), F.element_at(words, -1))))
 
 
-def _bare(raw: Column) -> tuple[Column, Column]:
-    """A titled name without its title, and the surname alone."""
-    return F.regexp_replace(raw, "^[^ ]+ ", ""), F.substring_index(raw, " ", -1)
+def _untitled(raw: Column) -> Column:
+    return F.regexp_replace(raw, f"^[^\\s\\u00A0]+{_GAP}+", "")
+
+
+def _words(raw: Column) -> Column:
+    """The words of a titled name that are replaced: all but the title and particles."""
+    return F.filter(F.split(_untitled(raw), f"{_GAP}+"), lambda w: ~w.rlike(r"^\p{Ll}"))
+
+
+def _renamed(text: Column, found: Column) -> Column:
+    """A name with each word that is no particle replaced, written as that word was: in capitals,
+    as an initial, or as it is drawn. Gaps and particles stay."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("i"))
+
+    def step(acc: Column, w: Column) -> Column:
+        is_word = w.rlike(r"^(?!\p{Ll})[^\s ]")
+        new = F.get(found, acc["i"])
+        new = F.when(w.rlike(r"^.\.$"), F.concat(F.substring(new, 1, 1), F.lit("."))).when(
+            (F.length(w) > 1) & (w == F.upper(w)), F.upper(new)
+        ).otherwise(new)
+        return F.struct(
+            F.concat(acc["out"], F.when(is_word, new).otherwise(w)).alias("out"), (acc["i"] + is_word.cast("int")).alias("i")
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(r"[\s ]+|[^\s ]+"), F.lit(0))
+    return F.aggregate(pieces, start, step)["out"]
+
+
+def _bare(raw: Column) -> list[Column]:
+    """A titled name without its title, and the surname alone, as written, in capitals, and with
+    the first letter of each word as a capital if it stands in capitals."""
+    full = _untitled(raw)
+    last = F.element_at(_words(raw), -1)
+    usual = lambda n: F.when(n == F.upper(n), F.initcap(n)).otherwise(n)
+    return [full, last, F.upper(full), F.upper(last), usual(full), usual(last)]
 
 
 def with_bare_names(ents: Column) -> Column:
@@ -110,6 +176,7 @@ def parts_of(raw: Column, kind: Column) -> Column:
         .when(kind == "phone", F.regexp_replace(raw, r"[^0-9+]", ""))
         .when(kind.isin("card", "ssn"), F.regexp_replace(raw, r"[^0-9]", ""))
         .when(kind == "iban", F.regexp_replace(raw, " ", ""))
+        .when(kind.isin("hex_key", "ipv6"), F.lower(raw))
         .otherwise(raw)
     )
     one = F.array(F.struct(kind.alias("kind"), norm.alias("norm")))
@@ -126,19 +193,11 @@ def _alike(text: Column, seed: Column) -> Column:
     """Every letter and digit replaced by one of its case and script; marks stay."""
 
     def one(c: Column, i: Column) -> Column:
-        letter = lambda first, n: F.chr(F.lit(ord(first)) + _draw(seed, i, n))
-        wide = lambda first, n: F.substring(
-            F.lit("".join(chr(ord(first) + k) for k in range(n))), (_draw(seed, i, n) + 1).cast("int"), F.lit(1)
-        )
-        return (
-            F.when(c.rlike("^[0-9]"), _draw(seed, i, 10).cast("string"))
-            .when(c.rlike(r"^\p{IsCyrillic}") & c.rlike(r"^\p{Lu}"), wide("А", 32))
-            .when(c.rlike(r"^\p{IsCyrillic}"), wide("а", 32))
-            .when(c.rlike(r"^\p{IsGreek}") & c.rlike(r"^\p{L}"), wide("α", 17))
-            .when(c.rlike(r"^\p{Lu}"), letter("A", 26))
-            .when(c.rlike(r"^\p{L}"), letter("a", 26))
-            .otherwise(c)
-        )
+        new = F.when(c.rlike("^[0-9]"), _draw(seed, i, 10).cast("string"))
+        for form, (first, n) in LETTERS.items():
+            code = F.lpad(F.hex(_draw(seed, i, n) + first), 4, "0")
+            new = new.when(c.rlike(form), F.decode(F.unhex(code), "UTF-16BE"))
+        return new.otherwise(c)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
@@ -152,6 +211,14 @@ def _luhn_digit(digits: Column) -> Column:
     return F.pmod(10 - total % 10, F.lit(10)).cast("string")
 
 
+def _iban_digits(country: Column, account: Column) -> Column:
+    """The two check digits that complete an account number: 98 less the rest by 97."""
+    code = lambda c: F.ascii(c) - F.when(c.rlike("^[0-9]"), 48).otherwise(55)
+    step = lambda a, c: (a * F.when(c.rlike("^[0-9]"), 10).otherwise(100) + code(c)) % 97
+    signs = F.filter(F.split(F.concat(account, country, F.lit("00")), ""), lambda c: c != "")
+    return F.lpad((98 - F.aggregate(signs, F.lit(0), step)).cast("string"), 2, "0")
+
+
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """A replacement of the same kind and form, drawn from a keyed digest."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 256)
@@ -165,19 +232,23 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     )
     more = F.floor(attempt / 3).cast("int")  # names grow longer when the short ones are taken
     coined = lambda words: F.initcap(syllables(words, more + 3))
-    name = F.when(kind.contains("_cyrillic"), coined(_CYRILLIC))
+    name = F.when(kind.contains("_cyrillic"), coined(_CYRILLIC)).when(kind.contains("_greek"), coined(_GREEK))
     for which, listed in GIVEN.items():
         chosen = F.element_at(F.lit(listed), (_draw(seed, F.lit(0), len(listed)) + 1).cast("int"))
         name = name.when(kind == which, F.when(more == 0, chosen).otherwise(F.concat(chosen, syllables(_LATIN, more))))
     card = F.concat(F.substring(norm, 1, 1), _alike(norm.substr(F.lit(2), F.length(norm) - 2), seed))
     local = F.substring_index(norm, "@", 1)
     octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: _draw(seed, i, 256).cast("string"))
-    hexes = F.transform(F.sequence(F.lit(1), F.length(norm)), lambda i: F.lower(F.hex(_draw(seed, i, 16))))
+    hexes = F.transform(
+        F.split(norm, ""), lambda c, i: F.when(c.rlike("^[0-9a-f]"), F.lower(F.hex(_draw(seed, i, 16)))).otherwise(c)
+    )
+    account = _alike(norm.substr(F.lit(5), F.length(norm)), seed)
+    country = F.substring(norm, 1, 2)
     return (
         F.when(kind == "email", F.concat(_alike(local, seed), F.lit("@"), _alike(F.lit("domains"), F.reverse(seed)), F.lit(".example")))
         .when(kind == "aws_key", rest(4))
-        .when(kind == "hex_key", F.array_join(hexes, ""))
-        .when(kind == "iban", rest(2))
+        .when(kind.isin("hex_key", "ipv6"), F.array_join(hexes, ""))
+        .when(kind == "iban", F.concat(country, _iban_digits(country, account), account))
         .when(kind == "card", F.concat(card, _luhn_digit(card)))
         .when(kind == "phone", F.when(norm.startswith("+1"), rest(2)).when(norm.startswith("+"), rest(3)).otherwise(rest(0)))
         .when(kind == "ipv4", F.array_join(octets, "."))
@@ -209,8 +280,8 @@ def written_as(raw: Column, kind: Column, found: Column) -> Column:
         F.when(kind == "secret", F.concat(F.regexp_extract(raw, "^" + _SECRET, 0), first))
         .when(kind.isin("phone", "card", "ssn"), _filled(raw, F.regexp_replace(first, "[^0-9]", ""), "^[0-9]$"))
         .when(kind == "iban", _filled(raw, first, "^[A-Z0-9]$"))
-        .when((kind == "email") & upper, F.upper(first))
-        .when(kind == "name", F.concat(F.substring_index(raw, " ", 1), F.lit(" "), F.array_join(found, " ")))
+        .when(kind.isin("email", "hex_key", "ipv6") & upper, F.upper(first))
+        .when(kind == "name", F.concat(F.regexp_extract(raw, f"^[^\\s\\u00A0]+{_GAP}+", 0), _renamed(_untitled(raw), found)))
         .otherwise(first)
     )
 
@@ -247,27 +318,34 @@ def distinct_surrogates(parts: DataFrame, key: str, draw: Callable = surrogate)
         state = state.select("kind", "norm", "attempt")
 
 
-def replace_entities(documents: DataFrame, text: str, key: str = KEY, counted: str | None = None) -> DataFrame:
+def replace_entities(documents: DataFrame, text: str, key: str | None = None, counted: str | None = None) -> DataFrame:
     """Documents with all entities in a text column replaced; all other columns stay.
 
     Equal entities get equal surrogates in all documents, however they are written, and
-    different ones different surrogates. A document with entities is written once with the
-    entities found in it, and only those documents are joined with their replacements; the
-    others pass through. Names are found after a title, with all capitalised words that follow;
-    the full names and surnames found so are replaced in the same document without a title
-    too, in the letter case found. Other names without a title stay. Null and empty texts stay.
-    ``counted`` names a column to add with the number of entities replaced.
+    different ones different surrogates, except that names written as initials keep one letter
+    of theirs only. Texts are searched once, and documents are written with the entities found;
+    only those that have some are joined with their replacements, the others pass through.
+    Names are found after a title, with all capitalised words that follow on the line, and
+    particles between them, which stay; the full names and surnames found so are replaced in the
+    same document without a title too, also in capitals. Other names without a title, and digits
+    that no mark sets apart as a phone number, stay. Null and empty texts stay.
+    ``key`` is that of the session's setting unless given. ``counted`` names a column to add
+    with the number of entities replaced.
     """
     names = documents.columns
+    key = key or documents.sparkSession.conf.get(KEY_SETTING, KEY)
     row, ents, reps, form = (fresh(names, n) for n in ("_row", "_ents", "_reps", "_form"))
     column = F.col(f"`{text}`")
-    has = F.coalesce(column.rlike(ENTITY), F.lit(False))
-    found = written(
-        documents.filter(has).withColumns(
-            {ents: F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)), row: F.monotonically_increasing_id()}
+    searched = written(
+        documents.withColumns(
+            {
+                ents: F.coalesce(F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>")),
+                row: F.monotonically_increasing_id(),
+            }
         ),
         "op9-found",
     )
+    found = searched.filter(F.size(ents) > 0)
     raws = found.select(F.col(row).alias("row"), F.explode(F.array_distinct(ents)).alias("raw"))
     kind = kind_of(F.col("raw"))
     parts = raws.withColumn("as", kind).select(
@@ -279,12 +357,9 @@ def replace_entities(documents: DataFrame, text: str, key: str = KEY, counted: s
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "sur"))), lambda x: x["sur"]).alias("surs")
     )
     to_all = drawn.select("row", "raw", written_as(F.col("raw"), F.col("as"), F.col("surs")).alias("to"))
-    full, last = _bare(F.col("raw"))
-    pair = lambda n, to: F.struct(n.alias("raw"), to.alias("to"))
-    bare = drawn.filter(F.col("as") == "name").select(
-        "row",
-        F.explode(F.array(pair(full, F.array_join("surs", " ")), pair(last, F.element_at("surs", -1)))).alias("x"),
-    ).select("row", "x.raw", "x.to")
+    pairs = [F.struct(n.alias("raw"), _renamed(n, F.when(F.lit(k % 2 == 0), F.col("surs")).otherwise(F.slice("surs", -1, 1))).alias("to"))
+             for k, n in enumerate(_bare(F.col("raw")))]
+    bare = drawn.filter(F.col("as") == "name").select("row", F.explode(F.array_distinct(F.array(*pairs))).alias("x")).select("row", "x.raw", "x.to")
     to_all = to_all.unionByName(bare).groupBy("row", "raw").agg(F.min("to").alias("to"))
     maps = to_all.groupBy("row").agg(
         F.map_from_entries(F.collect_list(F.struct("raw", "to"))).alias(reps)
@@ -301,7 +376,7 @@ def replace_entities(documents: DataFrame, text: str, key: str = KEY, counted: s
     kept = [F.col(f"`{c}`") if c != text else F.array_join(pieces, "").alias(text) for c in names]
     extra = [count.alias(counted)] if counted else []
     none = [F.lit(0).cast("long").alias(counted)] if counted else []
-    clean = documents.filter(~has).select(*[F.col(f"`{c}`") for c in names], *none)
+    clean = searched.filter(F.size(ents) == 0).select(*[F.col(f"`{c}`") for c in names], *none)
     return clean.unionByName(done.select(*kept, *extra))
 
 
