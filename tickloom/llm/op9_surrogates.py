@@ -48,6 +48,9 @@ _FIRST = {
     "name": "(?=[MHSFDPГг])",
 }
 ENTITY = "|".join(f"(?:{_FIRST.get(kind, '')}{p})" for kind, p in PATTERNS.items())
+# Without an at sign, a digit or two colons only these kinds can be in a text.
+_BARE_START = f"(?=[pastPAST]){_SECRET}|[a-f]{{32}}|[A-F]{{32}}|(?=[MHSFDPГг])(?<![\\p{{L}}\\p{{N}}]){_TITLE}"
+
 # Given names by kind, fixed; surnames and further names are made of syllables.
 GIVEN = {
     "given_male": "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Nico Oscar Paul Rafael Simon Tomas Viktor".split(),
@@ -78,6 +81,12 @@ LETTERS = {
 }
 
 
+def may_hold(text: Column) -> Column:
+    """Whether a text can hold an entity, by cheap tests: true for every text that does."""
+    marks = [text.contains(mark) for mark in ("@", "::", "AKIA")]
+    return marks[0] | marks[1] | marks[2] | text.rlike("[0-9]") | text.rlike(_BARE_START)
+
+
 def kind_of(raw: Column) -> Column:
     """The kind of a found entity, from its form."""
     return (
@@ -339,7 +348,9 @@ def replace_entities(documents: DataFrame, text: str, key: str | None = None, co
     searched = written(
         documents.withColumns(
             {
-                ents: F.coalesce(F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>")),
+                ents: F.when(may_hold(column), F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0))).otherwise(
+                    F.array().cast("array<string>")
+                ),
                 row: F.monotonically_increasing_id(),
             }
         ),
