@@ -8,14 +8,15 @@ from datetime import datetime
 from tests.data import at
 from tickloom import schemas
 from tickloom.functions.clock import recent
-from tickloom.operators import anomalies, features, ranking
+from tickloom.operators import anomalies, features, ranking, validation
 from tickloom.operators.candles import candles
 from tickloom.operators.hotkeys import SplitPolicy, hot_keys, no_key_is_hot, time_cuts
 from tickloom.operators.risk import drawdown
 from tickloom.registry import views
 from tickloom.session import scratch
 from tickloom.sinks import tables
-from tickloom.sources import lake
+from tickloom.sources import lake, messages
+from tickloom.streaming import ingest
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -94,3 +95,13 @@ def test_drawdown_of_cut_keys_joins_nothing_back(spark):
     plan = plan_of(drawdown(views.ticks_type(spark, SF_DIR), policy=SplitPolicy(100, 10)))
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert plan.count("Join") == plan.count("BroadcastHashJoin")
+
+
+def test_an_exploded_record_carries_none_of_its_message(spark):
+    path = scratch(spark, "inbox")
+    messages.envelopes(views.quotes(spark, SF_DIR)).select("value").write.text(path)
+    feed = messages.read_messages(spark, "text", {}, path, streaming=False)
+    plan = plan_of(validation.valid_quotes(ingest.quotes_of(feed)))
+    # no column beside the record, and the message is parsed once
+    assert re.search(r"Generate explode\(.*\), false, \[\w+#\d+\]", plan)
+    assert plan.count("from_json(") == 1

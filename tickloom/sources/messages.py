@@ -46,10 +46,13 @@ def parsed_messages(messages: DataFrame) -> DataFrame:
 
 def flatten(messages: DataFrame) -> DataFrame:
     """One tick row per record; messages without records give none."""
-    records = parsed_messages(messages).select(
-        F.col("message.timestamp").alias("timestamp"),
-        F.explode("message.data").alias("record"),
+    # The time goes into each record, so that explode takes the message off the row. Beside the
+    # time it would stay, and each record's row would carry all records of its message.
+    dated = F.transform(
+        "message.data", lambda record: F.struct("message.timestamp", record.alias("record"))
     )
+    exploded = parsed_messages(messages).select(F.explode(dated).alias("dated"))
+    records = exploded.select("dated.timestamp", "dated.record")
     names = ((f, "price" if f == "current_price" else f) for f in QUOTE.fieldNames())
     return records.select(
         "timestamp", *(F.col("record").getField(field).alias(name) for field, name in names)
