@@ -6,6 +6,7 @@ import os
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.data import at, rows_of
 from tickloom import schemas
@@ -14,8 +15,9 @@ from tickloom.plans.analytics_run import analyse, compact_all
 from tickloom.session import scratch
 from tickloom.settings import Settings
 from tickloom.sinks import tables
+from tickloom.sources.messages import envelopes, read_messages
 from tickloom.streaming.candles import amended, amendments, start_candles
-from tickloom.streaming.ingest import once
+from tickloom.streaming.ingest import once, start_ticks
 
 TICKS = "timestamp timestamp_ntz, id string, symbol string, price double, seq long"
 DAY = 24 * 60
@@ -56,6 +58,22 @@ def test_a_tick_lands_once_also_after_a_restart(spark):
     assert sorted([*first, repr(older)]) == again
 
 
+def test_a_long_message_lands_whole(spark):
+    """A copy of the message in the row of each record would take over 40 GB here."""
+    inbox, out, checkpoint = (scratch(spark, n) for n in ("in", "out", "check"))
+    quotes = spark.range(20_000).select(
+        F.concat(F.lit("k"), "id").alias("id"),
+        F.lit("S").alias("symbol"),
+        F.lit(1.5).alias("current_price"),
+        F.lit(at(0)).alias("timestamp"),
+    )
+    envelopes(quotes).select("value").write.text(inbox)
+    feed = read_messages(spark, "text", {}, inbox)
+    start_ticks(feed, out, checkpoint, backfill=True).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.count() == rows.select("id").distinct().count() == 20_000
+
+
 def test_streamed_candles_with_their_amendments_equal_the_batch_ones(spark):
     inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "candles", "check"))
     order = ("timestamp", "seq")
