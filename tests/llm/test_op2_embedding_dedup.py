@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -93,3 +97,32 @@ def test_query(spark):
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     want = brute([r[0] for r in rows], [r[1] for r in rows])
     assert ranked([tuple(r)[:3] for r in got.collect()]) == ranked(want)
+
+
+def test_disk_does_not_grow_with_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK", 32)
+    rng = np.random.default_rng(4)
+    made = rng.normal(size=(1600, 64))  # without neighbours, so that no two blocks are apart
+    made[1000:1040] = 2 * made[:40] + rng.normal(size=(40, 64)) * 0.1
+    rows = [(i, v, "x") for i, v in enumerate(made.tolist())]
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(str(d)) for d in manager.localDirs()]
+    old, seen, done = {f for d in folders for f in d.rglob("*shuffle_*")}, {}, threading.Event()
+
+    def watch():  # Spark may delete a shuffle as soon as it was read
+        while not done.wait(0.02):
+            for f in {f for d in folders for f in d.rglob("*shuffle_*.data*")} - old:
+                with contextlib.suppress(OSError):
+                    name = f.name.partition(".data")[0]
+                    seen[name] = max(seen.get(name, 0), f.stat().st_size)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        got = result(spark, rows)
+    finally:
+        done.set()
+        watcher.join()
+    assert sum(seen.values()) < 3 * made.nbytes
+    assert ranked([g[:3] for g in got]) == ranked(brute([r[0] for r in rows], [r[1] for r in rows]))
+    assert sum(g[1] for g in got) == 80
