@@ -126,3 +126,32 @@ def test_disk_does_not_grow_with_pairs_of_blocks(spark, monkeypatch):
     assert sum(seen.values()) < 3 * made.nbytes
     assert ranked([g[:3] for g in got]) == ranked(brute([r[0] for r in rows], [r[1] for r in rows]))
     assert sum(g[1] for g in got) == 80
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.1, 0.2, 0.33, 0.6, 9.0])
+def test_traversal_against_all_pairs(spread):
+    rng = np.random.default_rng(int(spread * 100))
+    base = rng.normal(size=(3, 32))
+    left, right = (base[rng.integers(3, size=n)] + spread * rng.normal(size=(n, 32)) for n in (700, 300))
+    right[:40] = left[:40] * 3
+    axes = op.leading(op.scaled(left[:200])) if spread else np.linalg.qr(rng.normal(size=(32, 7)))[0]
+    one, two = (op.Side(x, op.tree(op.scaled(x)), axes) for x in (left, right))
+    for a, b, same in ((one, two, False), (one, one, True)):
+        want = a.rows @ b.rows.T >= op.COSINE
+        if same:
+            np.fill_diagonal(want, False)
+        found = op.traverse(a, b, same)
+        mine, theirs = found.totals()
+        assert mine.tolist() == want.sum(axis=1).tolist()
+        assert same or theirs.tolist() == want.sum(axis=0).tolist()
+        x, y = np.nonzero(want)
+        assert op.roots(found.n, *found.links()).tolist() == op.roots(found.n, x, y + found.offset).tolist()
+
+
+def test_short_products_are_no_less_than_cosines():
+    rng = np.random.default_rng(8)
+    rows = op.scaled(rng.normal(size=(600, 64)) + 0.1)
+    axes = op.leading(rows[:400])
+    low = op.shortened(rows, axes)
+    assert 1 < low.shape[1] < 64
+    assert (low @ low.T - rows @ rows.T).min() > -op.rounding(low.shape[1])
